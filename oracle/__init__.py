@@ -1,5 +1,5 @@
 """The same queries in DuckDB SQL, for checking results. Not used by the library."""
 
-from oracle import growth
+from oracle import growth, ingest, serving
 
-ORACLES: dict[str, str] = {**growth.ORACLES}
+ORACLES: dict[str, str] = {**growth.ORACLES, **ingest.ORACLES, **serving.ORACLES}

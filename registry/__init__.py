@@ -1,5 +1,5 @@
 """Every registered query: (spark, folder) -> DataFrame over the supplied tables."""
 
-from registry import growth
+from registry import growth, ingest, serving
 
-QUERIES = {**growth.QUERIES}
+QUERIES = {**growth.QUERIES, **ingest.QUERIES, **serving.QUERIES}
