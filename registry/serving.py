@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.growth import user_signals
@@ -11,7 +11,9 @@ from upswell.operators import latest
 from upswell.operators.growth import growth_history
 from upswell.plans import profile, quality, ranking, shows
 
-TODAY = F.to_date(F.lit("2001-05-20"))
+
+def today() -> Column:
+    return F.lit("2001-05-20").cast("date")
 
 
 def joined(df: DataFrame, *columns: str) -> DataFrame:
@@ -62,7 +64,7 @@ def country_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def data_notes(spark: SparkSession, folder: str) -> DataFrame:
-    return joined(ranking.data_notes(views.catalog_signals(spark, folder), TODAY), "notes")
+    return joined(ranking.data_notes(views.catalog_signals(spark, folder), today()), "notes")
 
 
 def data_status(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +72,7 @@ def data_status(spark: SparkSession, folder: str) -> DataFrame:
         n: views.table(spark, folder, n)
         for n in ("part", "orders", "lineitem", "events", "customer", "documents")
     }
-    return ranking.freshness(tables, views.catalog_signals(spark, folder), TODAY)
+    return ranking.freshness(tables, views.catalog_signals(spark, folder), today())
 
 
 def shows_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,7 +81,7 @@ def shows_table(spark: SparkSession, folder: str) -> DataFrame:
         views.order_bills(spark, folder),
         views.bill_matches(spark, folder),
         views.catalog_signals(spark, folder),
-        TODAY,
+        today(),
     )
 
 
@@ -92,7 +94,7 @@ def searched(spark: SparkSession, folder: str, **filters) -> DataFrame:
         shows_table(spark, folder),
         views.order_bills(spark, folder),
         views.catalog_signals(spark, folder),
-        TODAY,
+        today(),
         **filters,
     )
     return joined(out, "lineup")
@@ -112,7 +114,7 @@ def show_search_priced(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cheap_shows(spark: SparkSession, folder: str) -> DataFrame:
-    return shows.cheap_shows(shows_table(spark, folder), "NATION_3", TODAY, 60)
+    return shows.cheap_shows(shows_table(spark, folder), "NATION_3", today(), 60)
 
 
 def shows_elsewhere(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,7 +187,7 @@ def entity_profile(spark: SparkSession, folder: str) -> DataFrame:
         part_briefs(spark, folder),
         shows_table(spark, folder),
         views.order_bills(spark, folder),
-        TODAY,
+        today(),
     )
     return out.select(
         "artist_key",
