@@ -37,10 +37,34 @@ def country_evidence(chart_countries: Column, tags: Column, country: str, nation
 
 
 def tag_weights(tags: Column, top: int) -> Column:
-    """Lower-cased non-junk tags with weight 1/position, the first ``top`` of them.
-    Returns an array of struct(tag, weight)."""
-    kept = F.filter(tags, lambda t: ~F.lower(t).isin(*settings.JUNK_TAGS))
+    """The first ``top`` tags that are no junk, lower-cased, weighing 1/position; a tag written
+    twice adds up. An array of struct(tag, weight), one entry per tag."""
+    kept = F.slice(
+        F.filter(
+            F.transform(empty_if_null(tags), F.lower),
+            lambda t: ~t.isin(*settings.JUNK_TAGS),
+        ),
+        1,
+        top,
+    )
+    placed = F.transform(
+        kept, lambda t, i: F.struct(t.alias("tag"), (F.lit(1.0) / (i + 1)).alias("weight"))
+    )
     return F.transform(
-        F.slice(kept, 1, top),
-        lambda t, i: F.struct(F.lower(t).alias("tag"), (F.lit(1.0) / (i + 1)).alias("weight")),
+        F.array_distinct(kept),
+        lambda t: F.struct(
+            t.alias("tag"),
+            F.aggregate(
+                F.filter(placed, lambda p: p["tag"] == t),
+                F.lit(0.0),
+                lambda total, p: total + p["weight"],
+            ).alias("weight"),
+        ),
+    )
+
+
+def norm(weights: Column) -> Column:
+    """Euclidean length of an array of struct(tag, weight)."""
+    return F.sqrt(
+        F.aggregate(weights, F.lit(0.0), lambda total, w: total + w["weight"] * w["weight"])
     )

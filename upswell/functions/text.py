@@ -113,8 +113,14 @@ def key_to_mbid(key: Column) -> Column:
     return F.when(key.startswith("mbid:"), F.substring(key, 6, 1_000_000))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def signed_percent(value: Column) -> Column:
-    return F.coalesce(F.format_string("%+.1f%%", value), F.lit("n/a"))
+    shown = F.format_string("%+.1f%%", F.bround(value, 1))
+    return F.when(value.isNotNull(), shown).otherwise("n/a")
 
 
 def grouped_number(value: Column) -> Column:

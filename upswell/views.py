@@ -317,3 +317,125 @@ def similar_edges(spark: SparkSession, folder: str) -> DataFrame:
             F.least(F.col("q") / 128, F.lit(1.0)).alias("match"),
         )
     )
+
+
+def title_performers(spark: SparkSession, folder: str) -> DataFrame:
+    """Page titles as billed names; the kind of address decides how the name is spelled."""
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    spelled = (
+        F.when(F.col("url").contains("utm_source"), F.regexp_replace("title", "^(.*?)e", "$1"))
+        .when(F.col("url").contains("?page"), F.concat(F.lit("The "), "title"))
+        .when(F.col("url").endswith("/"), F.concat("title", F.lit(" Tribute")))
+        .when(F.col("url").endswith(".html"), F.translate("title", "or", ""))
+        .when(F.col("url").contains("#top"), F.array_join(F.reverse(F.split("title", " ")), " "))
+        .otherwise(F.col("title"))
+    )
+    return (
+        table(spark, folder, "pages")
+        .select("page_id", "url", title.alias("title"))
+        .select(
+            F.concat(F.lit("a"), "page_id").alias("attraction_id"),
+            spelled.alias("performer_name"),
+            F.when(F.col("url").contains("://blog."), F.concat(F.lit("T"), "page_id")).alias(
+                "performer_mbid"
+            ),
+            F.col("page_id").alias("event_id"),
+        )
+    )
+
+
+def title_artists(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of pages served securely as the tracked names, without their junk signs."""
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    return (
+        table(spark, folder, "pages")
+        .filter(F.col("url").startswith("https:"))
+        .select(
+            F.concat(F.lit("art:"), "page_id").alias("artist_key"),
+            F.regexp_replace(title, "[*#%$]", "").alias("name"),
+            F.concat(F.lit("t"), "page_id").alias("mbid"),
+        )
+    )
+
+
+def tracked_signals(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored parts that are tracked (every type but MEDIUM), with finer tags for taste."""
+    words = F.split("p_name", " ")
+    tags = table(spark, folder, "part").select(
+        F.concat(F.lit("mbid:p"), "p_partkey").alias("artist_key"),
+        F.array(
+            F.concat_ws(" ", words[0], F.col("p_brand")),
+            F.lit("Seen Live"),
+            F.concat_ws(" ", words[1], F.col("p_size").cast("string")),
+            F.concat_ws(" ", F.col("p_type"), F.col("p_brand")),
+        ).alias("tags"),
+    )
+    return (
+        catalog_signals(spark, folder)
+        .filter("NOT startswith(genres, 'MEDIUM')")
+        .drop("tags")
+        .join(tags, "artist_key")
+    )
+
+
+def pool_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Economy parts as the pool so far."""
+    return table(spark, folder, "part").filter("p_type = 'ECONOMY'").select(
+        F.concat(F.lit("mbid:p"), "p_partkey").alias("artist_key"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("name"),
+        F.concat(F.lit("p"), "p_partkey").alias("mbid"),
+        F.when(F.col("p_size") > 40, "geo:Canada")
+        .when(F.col("p_size") > 30, "event:Toronto")
+        .otherwise("similar:x")
+        .alias("source"),
+        F.lit("2001-05-01").cast("date").alias("added_date"),
+        F.lit("2001-05-01").cast("date").alias("pool_date"),
+    )
+
+
+def pool_seeds(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Two seed sources with overlaps: large parts as a chart, then promoted and small types."""
+    parts = table(spark, folder, "part").select(
+        F.concat(F.lit("mbid:p"), "p_partkey").alias("artist_key"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("name"),
+        F.concat(F.lit("p"), "p_partkey").alias("mbid"),
+        F.col("p_partkey").alias("position"),
+        "p_size",
+        "p_type",
+    )
+    charts = parts.filter("p_size > 35").withColumn("source", F.lit("geo:Brazil"))
+    tags = parts.filter("p_type IN ('PROMO', 'SMALL')").withColumn("source", F.lit("tag:rock"))
+    return [charts.drop("p_size", "p_type"), tags.drop("p_size", "p_type")]
+
+
+def brief_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """First conversation turns as model responses; short ones came back empty, some failed."""
+    first = table(spark, folder, "conversations").filter("turn = 0")
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("conv_id"), "p_name", "p_type"
+    )
+    section = (
+        F.when(F.col("p_type") == "PROMO", F.lit("No label mentioned in the Last.fm bio (not confirmed)."))
+        .when(F.col("p_type") == "SMALL", F.lit("  "))
+        .otherwise(F.concat(F.lit("Signed to "), "p_name", F.lit(" – Records")))
+    )
+    result = F.when(
+        F.length("text") >= 120,
+        F.concat(
+            F.lit("### Who they are\n"),
+            "text",
+            F.lit("\n### Signing status\n"),
+            section,
+            F.when(F.col("p_type") != "LARGE", "\n### Where\nCharts.").otherwise(""),
+        ),
+    ).when(F.length("text") >= 60, F.lit("  "))
+    return first.join(parts, "conv_id").select(
+        F.concat(F.lit("mbid:p"), "conv_id").alias("artist_key"),
+        F.col("p_name").alias("name"),
+        F.struct(
+            result.alias("result"),
+            F.when(F.length("text") < 60, "too short").alias("errorMessage"),
+        ).alias("response"),
+        F.lit("large").alias("model"),
+        F.lit("2001-05-15 00:00:00").cast("timestamp_ntz").alias("generated_at"),
+    )
