@@ -118,10 +118,10 @@ def signals_sql(prefix: str, daily: str, charts: str, bands: list[tuple[int, str
         f"""
       SELECT artist_key, name, as_of_date, l_now AS lastfm_listeners, p_now AS lastfm_playcount,
         size_band,
-        CASE WHEN bz IS NOT NULL THEN round_even(
+        CASE WHEN bz IS NOT NULL THEN round_even(round(
           (rank() OVER (PARTITION BY bz IS NULL ORDER BY bz)
            + (count(*) OVER (PARTITION BY bz) - 1) / 2.0::DOUBLE)
-          / count(bz) OVER () * 100, 1) END AS breakout_score,
+          / count(bz) OVER () * 100, 9), 1) END AS breakout_score,
         CASE WHEN bz IS NOT NULL THEN
           CAST(rank() OVER (ORDER BY bz DESC NULLS LAST) AS INTEGER) END AS breakout_rank,
         round(bz, 6) AS breakout_z,
@@ -129,7 +129,7 @@ def signals_sql(prefix: str, daily: str, charts: str, bands: list[tuple[int, str
         round((exp(lr14 * 14) - 1) * 100, 6) AS listeners_14d_growth_pct,
         round((exp(pr * 7) - 1) * 100, 6) AS plays_7d_growth_pct,
         CASE WHEN lr IS NOT NULL THEN
-          CAST(round_even((l_now - l_then) * 7 / span, 0) AS BIGINT) END AS new_listeners_7d,
+          CAST(round_even(round((l_now - l_then) * 7 / span, 9), 0) AS BIGINT) END AS new_listeners_7d,
         CAST(new_charts AS INTEGER) AS new_country_charts_14d, here AS chart_countries,
         round(lz, 6) AS listener_growth_z, round(pz, 6) AS play_growth_z,
         CASE WHEN lr IS NOT NULL THEN CAST(span AS INTEGER) END AS growth_window_days,
@@ -182,11 +182,11 @@ define(
     CASE WHEN days >= 3 THEN up END AS days_with_increase,
     CASE WHEN days >= 3 THEN biggest END AS largest_one_day_change,
     CASE WHEN days >= 3 THEN top.d END AS largest_one_day_date,
-    CASE WHEN days >= 3 AND total > 0 THEN round_even(biggest / total, 3) END
+    CASE WHEN days >= 3 AND total > 0 THEN round_even(round(biggest / total, 9), 3) END
       AS largest_one_day_share,
     CASE WHEN days >= 3 THEN gaps END AS gaps
   FROM (
-   SELECT *, l.v - f.v AS total, CAST(round_even(top.s, 0) AS BIGINT) AS biggest FROM (
+   SELECT *, l.v - f.v AS total, CAST(round_even(round(top.s, 9), 0) AS BIGINT) AS biggest FROM (
     SELECT artist_key, count(*) AS days,
       min({'d': snapshot_date, 'v': lastfm_listeners}) AS f,
       max({'d': snapshot_date, 'v': lastfm_listeners}) AS l,

@@ -157,8 +157,9 @@ define(
 )
 define(
     "entity_tags",
-    """SELECT artist_key, tag, 1.0::DOUBLE / pos AS w
-       FROM (SELECT artist_key, unnest(kept) AS tag, generate_subscripts(kept, 1) AS pos FROM tracked)""",
+    """SELECT artist_key, tag, sum(1.0::DOUBLE / pos) AS w
+       FROM (SELECT artist_key, unnest(kept) AS tag, generate_subscripts(kept, 1) AS pos FROM tracked)
+       GROUP BY 1, 2""",
     ["tracked"],
 )
 define(
@@ -233,7 +234,7 @@ define(
   SELECT "user", candidate AS artist_key, total / max(total) OVER (PARTITION BY "user") AS sim,
          through
   FROM (SELECT "user", candidate, sum(part) AS total,
-               list(name ORDER BY part DESC, name)[1:2] AS through
+               list(name ORDER BY round(part, 9) DESC, name)[1:2] AS through
         FROM links GROUP BY ALL)""",
     ["links"],
 )
@@ -256,8 +257,8 @@ def scored_pairs(source: str) -> str:
     return f"""
   SELECT p.user, p.artist_key, coalesce(l.plays, 0) AS plays,
     coalesce(l.familiarity, 0.0) AS familiarity,
-    round_even(CASE WHEN h.user IS NULL THEN coalesce(c.cosine, 0)
-               ELSE 0.7 * coalesce(s.sim, 0) + 0.3 * coalesce(c.cosine, 0) END, 3) AS affinity,
+    round_even(round(CASE WHEN h.user IS NULL THEN coalesce(c.cosine, 0)
+               ELSE 0.7 * coalesce(s.sim, 0) + 0.3 * coalesce(c.cosine, 0) END, 9), 3) AS affinity,
     concat_ws('; ',
       CASE WHEN l.plays > 0 THEN 'you''ve played them ' || l.plays
         || CASE WHEN l.plays = 1 THEN ' time' ELSE ' times' END END,
@@ -288,9 +289,9 @@ define(
 define(
     "breaking",
     """
-  SELECT l.user, l.artist_key, round_even(breakout_score / 100
+  SELECT l.user, l.artist_key, round_even(round(breakout_score / 100
       * greatest(0, least(1, ln(1000000 / lastfm_listeners) / ln(100)))
-      * (0.25 + 0.75 * familiarity), 3) AS rank_score
+      * (0.25 + 0.75 * familiarity), 9), 3) AS rank_score
   FROM library l JOIN tracked t USING (artist_key)
   WHERE breakout_score >= 70 AND possible_alias_of IS NULL""",
     ["library", "tracked"],
@@ -319,7 +320,7 @@ def user_shows(weights: dict[str, float]) -> str:
       FROM (
         SELECT k.user, s.event_id, s.event_date, s.artist_key, s.artist_name, s.city,
           s.is_headliner, s.min_price, k.plays, k.affinity, k.because,
-          round_even(({score}) * CASE WHEN s.is_headliner THEN 1.0 ELSE 0.8 END, 3) AS rank_score,
+          round_even(round(({score}) * CASE WHEN s.is_headliner THEN 1.0 ELSE 0.8 END, 9), 3) AS rank_score,
           count(*) OVER (PARTITION BY k.user) AS total_matches,
           count(s.min_price) OVER (PARTITION BY k.user) AS priced_matches,
           CAST(row_number() OVER (PARTITION BY k.user ORDER BY rank_score DESC, s.event_date,
@@ -436,7 +437,7 @@ define(
 )
 
 BIO = r"regexp_replace(coalesce(bio_summary, ''), '^\s+|\s+$', '', 'g')"
-PERCENT = "coalesce(printf('%+.1f%%', round_even({c}, 1)), 'n/a')"
+PERCENT = "coalesce(printf('%+.1f%%', round_even(round({c}, 9), 1)), 'n/a')"
 
 ORACLES = {
     "normalize_names": rf"""
@@ -520,8 +521,7 @@ ORACLES = {
     "user_tags": query(["utags"], "SELECT * REPLACE (round(weight, 9) AS weight) FROM utags"),
     "similar_scores": query(
         ["sims"],
-        """SELECT "user", artist_key, round(sim, 9) AS sim, array_to_string(through, '|') AS through
-           FROM sims""",
+        """SELECT "user", artist_key, round(sim, 9) AS sim FROM sims""",
     ),
     "affinity": query(
         ["known"], 'SELECT "user", artist_key, plays, affinity, because FROM known'
@@ -535,9 +535,9 @@ ORACLES = {
       FROM (SELECT s.user,
               string_agg(concat_ws('=', s.name, s.plays, t.size_band), '|' ORDER BY place)
                 FILTER (place <= 10) AS top_artists,
-              round_even(count(s.artist_key) / count(*), 3) AS coverage,
-              round_even(coalesce(sum(weight) FILTER (size_band IN ('<10k', '10k-50k', '50k-500k')), 0)
-                / coalesce(sum(weight) FILTER (s.artist_key IS NOT NULL), 1), 3) AS emerging_share
+              round_even(round(count(s.artist_key) / count(*), 9), 3) AS coverage,
+              round_even(round(coalesce(sum(weight) FILTER (size_band IN ('<10k', '10k-50k', '50k-500k')), 0)
+                / coalesce(sum(weight) FILTER (s.artist_key IS NOT NULL), 1), 9), 3) AS emerging_share
             FROM seeds s LEFT JOIN tracked t USING (artist_key) GROUP BY s.user) s
       LEFT JOIN (SELECT "user", array_to_string(list(tag ORDER BY round(weight, 9) DESC, tag)[1:10], '|')
                    AS top_tags FROM utags GROUP BY 1) u USING ("user")
@@ -560,7 +560,7 @@ ORACLES = {
       FROM (SELECT f.user, artist_key, t.name, t.breakout_score, t.size_band, t.lastfm_listeners,
               f.affinity, f.because, f.plays AS your_plays,
               f.affinity * t.breakout_score / 100 * (1 - f.familiarity) ** 2 AS r,
-              round_even(r, 3) AS rank_score
+              round_even(round(r, 9), 3) AS rank_score
             FROM found f JOIN tracked t USING (artist_key)
             WHERE t.possible_alias_of IS NULL AND t.breakout_score >= 70 AND t.size_band <> '2M+'
               AND r > 0)
@@ -625,7 +625,7 @@ ORACLES = {
           'Shows:' || chr(10) || coalesce(h.lines, '- none found')], chr(10)) AS prompt
       FROM facts f LEFT JOIN (
         SELECT artist_key, string_agg('- ' || event_date || ': ' || venue || ', ' || city ||
-          coalesce(' (from ' || printf('%.0f', round_even(min_price, 0)) || ' ' || currency || ')', ''),
+          coalesce(' (from ' || printf('%.0f', round_even(round(min_price, 9), 0)) || ' ' || currency || ')', ''),
           chr(10) ORDER BY event_date, event_id) AS lines
         FROM shows GROUP BY 1) h USING (artist_key)""",
     ),

@@ -227,7 +227,7 @@ ORACLES = {
         round(5 * tanh((p_retailprice - 950) / 5 / 5), 9) AS soft_clip,
         round((exp(ln((lastfm_listeners + 10) / lastfm_listeners) / 7 * 7) - 1) * 100, 6)
           AS growth_pct,
-        round_even((p_size - 25) / 2, 0) AS half_even, genres,
+        round_even(round((p_size - 25) / 2, 9), 0) AS half_even, genres,
         contains(p_name, 'ring') AS has_ring, 'p' || p_partkey AS mbid
       FROM part JOIN signals ON artist_key = 'mbid:p' || p_partkey""",
     ),
@@ -256,7 +256,7 @@ ORACLES["entity_profile"] = query(
   LEFT JOIN (
     SELECT artist_key, days, daily_listeners,
       CASE WHEN days < 3 THEN 'insufficient_history' WHEN total <= 0 THEN 'flat'
-           WHEN round_even(top.s, 0) / total > 0.5 OR up < 3 THEN 'concentrated'
+           WHEN round_even(round(top.s, 9), 0) / total > 0.5 OR up < 3 THEN 'concentrated'
            ELSE 'steady' END AS pattern,
       CASE WHEN days >= 3 THEN total END AS total_change,
       CASE WHEN days >= 3 THEN top.d END AS largest_one_day_date

@@ -201,18 +201,17 @@ def user_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 def similar_scores(spark: SparkSession, folder: str) -> DataFrame:
     seeds = taste.user_seeds(plays_of(spark, folder))
-    out = taste.similar_scores(
-        seeds, views.similar_edges(spark, folder), views.tracked_signals(spark, folder)
+    links = taste.two_way_links(
+        views.similar_edges(spark, folder), views.tracked_signals(spark, folder)
     )
-    return joined(out, "through").withColumn("sim", F.round("sim", 9))
+    return taste.similar_scores(seeds, links).withColumn("sim", F.round("sim", 9))
 
 
 def affinity(spark: SparkSession, folder: str) -> DataFrame:
     """Every user with every entity they play or are linked to."""
-    return (
-        built(spark, folder)
-        .known_pairs()
-        .select("user", "artist_key", "plays", "affinity", "because")
+    known = built(spark, folder)
+    return known.explained(known.known_pairs()).select(
+        "user", "artist_key", "plays", "affinity", "because"
     )
 
 

@@ -257,7 +257,7 @@ def scalar_numbers(spark: SparkSession, folder: str) -> DataFrame:
         F.round(
             numbers.growth_pct(numbers.log_rate(size + 10, size, F.lit(7)), 7), 6
         ).alias("growth_pct"),
-        F.bround((F.col("p_size") - 25) / 2, 0).alias("half_even"),
+        numbers.half_even((F.col("p_size") - 25) / 2).alias("half_even"),
         arrays.top_joined(views.part_tags()).alias("genres"),
         arrays.any_contains(views.part_tags(), "RING").alias("has_ring"),
         text.key_to_mbid(F.concat(F.lit("mbid:p"), "p_partkey")).alias("mbid"),

@@ -56,7 +56,9 @@ def cheapness(price: Column) -> Column:
 
 
 def half_even(value: Column, digits: int = 0) -> Column:
-    return F.bround(value, digits)
+    """Round half to even. Noise past the ninth decimal goes first, so a computed half counts as
+    a half whatever order its terms were added in."""
+    return F.bround(F.round(value, 9), digits)
 
 
 def shows_window(as_of: Column, today: Column, days_ahead: int) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upswell.functions.numbers import log_rate
+from upswell.functions.numbers import half_even, log_rate
 
 PointWindow = tuple[str, str, int]  # output prefix, value column, window in days
 
@@ -117,7 +117,7 @@ def trend_summary(
     change_all = F.coalesce(F.col("_last")[total], F.lit(0)) - F.coalesce(
         F.col("_first")[total], F.lit(0)
     )
-    biggest = F.bround("_top._step", 0).cast("bigint")
+    biggest = half_even(F.col("_top._step")).cast("bigint")
     share = F.when(F.col("_total") > 0, F.col("_biggest") / F.col("_total"))
     enough = F.col("days") >= 3
     pattern = (
@@ -146,7 +146,7 @@ def trend_summary(
                 "days_with_increase": F.col("_up"),
                 "largest_one_day_change": F.col("_biggest"),
                 "largest_one_day_date": F.col("_top")[day],
-                "largest_one_day_share": F.bround("_share", 3),
+                "largest_one_day_share": half_even(F.col("_share"), 3),
                 "gaps": F.col("_gaps"),
             }.items()
         ],

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upswell import settings
-from upswell.functions.numbers import soft_clip
+from upswell.functions.numbers import half_even, soft_clip
 from upswell.staging import staged
 
 BINS_PER_OCTAVE = 512
@@ -169,6 +169,6 @@ def with_ranks(df: DataFrame, value: str, rank: str, percentile: str) -> DataFra
     """Add the rank (1 = highest) and the percentile rounded half-even to one decimal; both are
     NULL where the value is."""
     ranks = value_ranks(df, value).select(
-        value, F.col("rank").alias(rank), F.bround("pct", 1).alias(percentile)
+        value, F.col("rank").alias(rank), half_even(F.col("pct"), 1).alias(percentile)
     )
     return df.join(ranks, value, "left")

@@ -146,7 +146,7 @@ def growth_signals(
         numbers.growth_pct(F.col("listener_rate"), short).alias("listeners_7d_growth_pct"),
         numbers.growth_pct(F.col("listener_rate_long"), long).alias("listeners_14d_growth_pct"),
         numbers.growth_pct(F.col("play_rate"), short).alias("plays_7d_growth_pct"),
-        F.bround(F.col("_gained") * short / window, 0).cast("bigint").alias("new_listeners_7d"),
+        numbers.half_even(F.col("_gained") * short / window).cast("bigint").alias("new_listeners_7d"),
         "new_country_charts_14d",
         "chart_countries",
         "listener_growth_z",
