@@ -524,7 +524,7 @@ ORACLES = {
         """SELECT "user", artist_key, round(sim, 9) AS sim FROM sims""",
     ),
     "affinity": query(
-        ["known"], 'SELECT "user", artist_key, plays, affinity, because FROM known'
+        ["known"], 'SELECT "user", artist_key, plays, affinity FROM known'
     ),
     "taste_profile": query(
         ["seeds", "library", "utags", "tracked", "breaking"],

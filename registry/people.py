@@ -209,10 +209,7 @@ def similar_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def affinity(spark: SparkSession, folder: str) -> DataFrame:
     """Every user with every entity they play or are linked to."""
-    known = built(spark, folder)
-    return known.explained(known.known_pairs()).select(
-        "user", "artist_key", "plays", "affinity", "because"
-    )
+    return built(spark, folder).known_pairs().select("user", "artist_key", "plays", "affinity")
 
 
 def taste_profile(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Name similarity at scale: token-sorted likeness, 0-100, twice the longest common subsequence
 over the two lengths.
 
-Candidates come from an equi-join on letter pairs, never from comparing all with all. Only the
-rarest letter pairs of each name are joined on: two names this alike can differ in at most
-``lost_pairs`` distinct pairs on either side, so the rarest pair they share is among the first
-``lost_pairs + 1`` of both. Nothing that reaches the cutoff is missed."""
+Candidates come from an equi-join on letter groups (three letters, two for short names), never
+from comparing all with all. Only the rarest groups of each name are joined on. Two names that
+reach the cutoff can miss at most ``lost_share`` x length of each other's groups, so the rarest
+group they share is among the first that many plus one of both: nothing is missed. Pairs whose
+letter counts or lengths already differ by too much are dropped inside the join."""
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from pyspark.sql.types import DoubleType
 
 from upswell import settings
 from upswell.operators.latest import top_per
+from upswell.staging import spread
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -48,70 +52,119 @@ def sorted_tokens(form: Column) -> Column:
     return F.array_join(F.array_sort(F.split(form, " ")), " ")
 
 
-def letter_pairs(text: Column) -> Column:
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))),
-        lambda i: F.substring(text, i, F.lit(2)),
+def letter_groups(text: Column, q: int) -> Column:
+    groups = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))),
+        lambda i: F.substring(text, i, F.lit(q)),
     )
-    return F.array_distinct(pairs)
+    return F.array_distinct(groups)
 
 
-def lost_pairs(length: Column, cutoff: float) -> Column:
-    """Most letter pairs a name can lose towards any partner that reaches the cutoff."""
+def lost_share(q: int, cutoff: float) -> float:
+    """Most ``q``-letter groups a name can miss in a partner, as a share of its length. Deleting
+    a letter breaks up to q groups and inserting one q - 1; the partner may be shorter by the
+    ratio below, or longer by its inverse, and still reach the cutoff."""
     r = 1 - cutoff / 100
-    share = (1.5 * r + 0.5) + (1.5 * r - 0.5) * (1 - r) / (1 + r)
-    return F.floor(length * share)
+    shortest = (1 - r) / (1 + r)
+    own, other = (q - 0.5) * r + 0.5, (q - 0.5) * r - 0.5
+    return own + other * (shortest if other < 0 else 1 / shortest)
+
+
+def shortest_text(q: int, cutoff: float) -> int:
+    """From this length on, partners that reach the cutoff are sure to share a group."""
+    share = lost_share(q, cutoff)
+    if share >= 1:
+        raise ValueError(f"a cutoff of {cutoff} is too low for {q}-letter groups")
+    enough = int(q / (1 - share)) + 1
+    while enough > q and enough - q > math.floor((enough - 1) * share):
+        enough -= 1
+    return enough
+
 
+BAG = 16  # letters are counted in this many bins by code
 
-def rarest_pairs(texts: DataFrame, frequencies: DataFrame, cutoff: float) -> DataFrame:
-    """Each text with the array of its rarest letter pairs, enough to meet any partner."""
-    pairs = texts.select("text", F.explode(letter_pairs(F.col("text"))).alias("pair"))
+
+def rarest_groups(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float) -> DataFrame:
+    """Each text with its rarest letter groups, enough to meet any partner."""
+    keep = (F.floor(F.length("text") * lost_share(q, cutoff) + 1e-9) + 1).cast("int")
     return (
-        pairs.join(frequencies, "pair", "left")
+        texts.select("text", F.explode(letter_groups(F.col("text"), q)).alias("part"))
+        .join(frequencies, "part", "left")
         .groupBy("text")
         .agg(
             F.array_sort(
-                F.collect_list(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "pair"))
+                F.collect_list(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "part"))
             ).alias("_ordered")
         )
-        .select(
-            "text",
-            F.slice(
-                F.col("_ordered.pair"),
-                F.lit(1),
-                (lost_pairs(F.length("text"), cutoff) + 1).cast("int"),
-            ).alias("rare"),
-        )
+        .select("text", F.slice(F.col("_ordered.part"), F.lit(1), keep).alias("rare"))
     )
 
 
-def similar_texts(
-    left: DataFrame, right: DataFrame, cutoff: float = settings.REVIEW_THRESHOLD
-) -> DataFrame:
-    """All (left text, right text) pairs that score at least ``cutoff``: columns ``left_text``,
-    ``right_text``, ``score``. Inputs have one distinct ``text`` column."""
+def join_side(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float, side: str) -> DataFrame:
+    """One row per text and rare group, with the text's length and letter counts."""
+    codes = F.transform(F.split("text", ""), lambda ch: F.ascii(ch) % BAG)
+
+    def count_of(i: int) -> Column:
+        return F.coalesce(F.size(F.filter(codes, lambda code: code == F.lit(i))), F.lit(0))
+
+    counts = [count_of(i).alias(f"{side}{i}") for i in range(BAG)]
+    # Counted once per text, before its groups become rows.
+    counted = rarest_groups(texts, frequencies, q, cutoff).select(
+        F.col("text").alias(f"{side}_text"),
+        F.length("text").alias(f"{side}_length"),
+        F.col("rare").alias(f"{side}_rare"),
+        *counts,
+    )
+    return spread(counted, f"{side}_text").select("*", F.explode(f"{side}_rare").alias("part"))
+
+
+def candidates(left: DataFrame, right: DataFrame, q: int, cutoff: float) -> DataFrame:
+    """Pairs that share a rare group and pass the length and letter-count bounds, each once."""
     frequencies = (
-        right.select(F.explode(letter_pairs(F.col("text"))).alias("pair"))
-        .groupBy("pair")
+        right.select(F.explode(letter_groups(F.col("text"), q)).alias("part"))
+        .groupBy("part")
         .agg(F.count("*").alias("names"))
     )
-    a = rarest_pairs(left, frequencies, cutoff).select(
-        F.col("text").alias("left_text"), F.col("rare").alias("_l"), F.explode("rare").alias("pair")
-    )
-    b = rarest_pairs(right, frequencies, cutoff).select(
-        F.col("text").alias("right_text"), F.col("rare").alias("_r"), F.explode("rare").alias("pair")
-    )
-    total = F.length("left_text") + F.length("right_text")
+    a = join_side(left, frequencies, q, cutoff, "left")
+    b = join_side(right, frequencies, q, cutoff, "right")
+    total = F.col("left_length") + F.col("right_length")
     slack = F.floor(total * (1 - cutoff / 100) + 1e-9).cast("int")
-    # A pair of names is emitted at the first letter pair they share only, so no pass over the
-    # candidates is needed to drop repeats; names of too different length are never emitted.
-    meets = (F.col("pair") == F.array_min(F.array_intersect("_l", "_r"))) & (
-        F.abs(F.length("left_text") - F.length("right_text")) <= slack
+    # Every letter one name has more of must be inserted or deleted.
+    apart = F.lit(0)
+    for i in range(BAG):
+        apart = apart + F.abs(F.col(f"left{i}") - F.col(f"right{i}"))
+    # A pair is kept at the first group it shares only, so nothing is there to deduplicate.
+    first = a["part"] == F.array_min(F.array_intersect("left_rare", "right_rare"))
+    # The cheap bound is tested before the arrays are looked at.
+    meets = F.when(apart <= slack, first).otherwise(False)
+    return a.join(b, (a["part"] == b["part"]) & meets.eqNullSafe(True)).select(
+        "left_text", "right_text", slack.alias("slack")
+    )
+
+
+def similar_texts(
+    left: DataFrame, right: DataFrame, cutoff: float = settings.REVIEW_THRESHOLD
+) -> DataFrame:
+    """All (left text, right text) pairs that score at least ``cutoff``: columns ``left_text``,
+    ``right_text``, ``score``. Inputs have one distinct ``text`` column. Texts of one letter
+    match nothing but themselves and are left out."""
+    long = shortest_text(3, cutoff)
+    if shortest_text(2, cutoff) > 3:
+        raise ValueError(f"a cutoff of {cutoff} is too low to find short names by letter pairs")
+    longest_partner = int(long * (2 - cutoff / 100) / (cutoff / 100)) + 1
+    size = F.length("text")
+
+    def short(df: DataFrame) -> DataFrame:
+        return df.filter((size >= 2) & (size <= longest_partner))
+
+    found = candidates(left.filter(size >= long), right.filter(size >= long), 3, cutoff).unionByName(
+        candidates(short(left), short(right), 2, cutoff).filter(
+            F.least(F.length("left_text"), F.length("right_text")) < long
+        )
     )
-    candidates = a.join(b, "pair").filter(meets).select("left_text", "right_text", slack.alias("_k"))
     # Substitutions make the edit distance no larger than the insert/delete distance, so this
     # JVM-side test is safe and leaves few pairs for Python.
-    close = candidates.filter(F.expr("levenshtein(left_text, right_text, _k) >= 0"))
+    close = found.filter(F.expr("levenshtein(left_text, right_text, slack) >= 0"))
     return close.select(
         "left_text", "right_text", likeness_of("left_text", "right_text").alias("score")
     ).filter(F.col("score") >= cutoff)

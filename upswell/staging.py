@@ -38,3 +38,9 @@ def staged(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "staged")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all shuffle partitions. For small inputs of steps that do much work per
+    row: adaptive execution would fold them into one task by their size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
