@@ -297,7 +297,7 @@ def csv_array_reload(spark: SparkSession, folder: str) -> DataFrame:
     signals = views.catalog_signals(spark, folder).select(
         "artist_key", "name", "tags", "chart_countries", "breakout_score"
     )
-    export.arrays_as_json(signals).write.option("header", True).option("escape", '"').csv(
+    export.arrays_as_json(signals).write.options(**export.CSV_OPTIONS).csv(
         f"{out}/artist_signals.csv"
     )
     schema = "artist_key STRING, name STRING, tags STRING, chart_countries STRING, breakout_score DOUBLE"

@@ -119,7 +119,8 @@ def join_side(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float, s
 
 
 def candidates(left: DataFrame, right: DataFrame, q: int, cutoff: float) -> DataFrame:
-    """Pairs that share a rare group and pass the length and letter-count bounds, each once."""
+    """Pairs that share a rare group and pass the letter-count and edit-distance bounds, each
+    once."""
     frequencies = (
         right.select(F.explode(letter_groups(F.col("text"), q)).alias("part"))
         .groupBy("part")
@@ -135,10 +136,16 @@ def candidates(left: DataFrame, right: DataFrame, q: int, cutoff: float) -> Data
         apart = apart + F.abs(F.col(f"left{i}") - F.col(f"right{i}"))
     # A pair is kept at the first group it shares only, so nothing is there to deduplicate.
     first = a["part"] == F.array_min(F.array_intersect("left_rare", "right_rare"))
-    # The cheap bound is tested before the arrays are looked at.
-    meets = F.when(apart <= slack, first).otherwise(False)
+    # Substitutions make the edit distance no larger than the insert/delete distance, so it is a
+    # safe last test on this side of Python.
+    edits = F.expr(
+        f"levenshtein(left_text, right_text, CAST(floor((left_length + right_length) * "
+        f"{1 - cutoff / 100} + 1e-9) AS INT)) >= 0"
+    )
+    # One expression, so the cheap tests come first wherever Spark puts the condition.
+    meets = F.when(apart <= slack, F.when(first, edits).otherwise(False)).otherwise(False)
     return a.join(b, (a["part"] == b["part"]) & meets.eqNullSafe(True)).select(
-        "left_text", "right_text", slack.alias("slack")
+        "left_text", "right_text"
     )
 
 
@@ -162,10 +169,7 @@ def similar_texts(
             F.least(F.length("left_text"), F.length("right_text")) < long
         )
     )
-    # Substitutions make the edit distance no larger than the insert/delete distance, so this
-    # JVM-side test is safe and leaves few pairs for Python.
-    close = found.filter(F.expr("levenshtein(left_text, right_text, slack) >= 0"))
-    return close.select(
+    return found.select(
         "left_text", "right_text", likeness_of("left_text", "right_text").alias("score")
     ).filter(F.col("score") >= cutoff)
 

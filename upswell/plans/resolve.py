@@ -9,6 +9,7 @@ from upswell import settings
 from upswell.functions.text import entity_key, is_tribute, key_to_mbid, match_form
 from upswell.operators.fuzzy import best_match, closest, similar_texts, sorted_tokens
 from upswell.operators.latest import one_per
+from upswell.staging import staged
 
 MATCH_COLUMNS = (
     "attraction_id performer_name artist_key artist_name match_score match_method".split()
@@ -45,14 +46,15 @@ def match_performers(
     ).select("_id", F.col("artist_key").alias("_id_key"), F.col("name").alias("_id_name"))
     acts = acts.join(ids, "_id", "left")
 
-    by_form = names_by_form(artists, order)
+    # Folded names are read by several joins below: work them out once.
+    by_form = staged(names_by_form(artists, order))
     open_names = (
         acts.filter("NOT tribute AND _id_key IS NULL")
         .select("performer_name")
         .distinct()
         .withColumn("form", match_form(F.col("performer_name")))
     )
-    exact = open_names.join(by_form, "form", "left")
+    exact = staged(open_names.join(by_form, "form", "left"))
     unmatched = exact.filter("artist_key IS NULL AND form <> ''").select("form").distinct()
     similar = best_similar(unmatched, by_form, order)
     named = (

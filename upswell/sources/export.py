@@ -37,6 +37,7 @@ COLUMNS = {
     "artist_similar": "from_key to_key to_name match".split(),
     "event_performers": "event_id billing_order performer_name".split(),
 }
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}  # texts hold quotes and line ends
 ARRAY_COLUMNS = {"artist_signals": ("tags", "chart_countries")}
 
 
@@ -74,15 +75,16 @@ def write_export(
     if missing:
         raise ValueError(f"missing tables: {missing}")
     spark = next(iter(tables.values())).sparkSession
+    options = CSV_OPTIONS if format == "csv" else {}
+    written = {}
     for name, df in tables.items():
         out = prepare(name, df)
         if format == "csv":
             out = arrays_as_json(out)
-        out.write.mode("overwrite").format(format).option("header", True).save(
-            f"{folder}/{name}.{format}"
-        )
-    meta = export_meta({n: spark.read.format(format).option("header", True).load(
-        f"{folder}/{n}.{format}") for n in tables}, source)
+        path = f"{folder}/{name}.{format}"
+        out.write.mode("overwrite").format(format).options(**options).save(path)
+        written[name] = spark.read.format(format).options(**options).load(path)
+    meta = export_meta(written, source)
     meta.write.mode("overwrite").parquet(f"{folder}/snapshot_meta.parquet")
     return spark.read.parquet(f"{folder}/snapshot_meta.parquet")
 
@@ -128,7 +130,7 @@ def read_table(
         return spark.read.parquet(f"{folder}/{name}.parquet")
     if not exists(f"{folder}/{name}.csv"):
         raise FileNotFoundError(f"expected {name}.parquet or {name}.csv in {folder}")
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.options(**CSV_OPTIONS)
     df = (reader.schema(schema) if schema else reader).csv(f"{folder}/{name}.csv")
     for c in ARRAY_COLUMNS.get(name, ()):
         if c in df.columns:
