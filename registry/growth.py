@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswell import views
+from upswell.functions.numbers import size_band
 from upswell.operators import growth, robust
 from upswell.plans import signals
+from upswell.staging import staged
 
 ROUNDED = (
     "breakout_z",
@@ -83,8 +85,6 @@ def robust_scales(spark: SparkSession, folder: str) -> DataFrame:
         [("l", "lastfm_listeners", 7), ("p", "lastfm_playcount", 7)],
         carry=["lastfm_listeners"],
     )
-    from upswell.functions.numbers import size_band
-
     moved = ~(
         F.coalesce(F.col("l_now") == F.col("l_then"), F.lit(False))
         & F.coalesce(F.col("p_now") == F.col("p_then"), F.lit(False))
@@ -94,7 +94,7 @@ def robust_scales(spark: SparkSession, folder: str) -> DataFrame:
         F.when(moved, F.col("l_rate")).alias("lr"),
         F.when(moved, F.col("p_rate")).alias("pr"),
     )
-    return robust.robust_scales(rates, "size_band", ["lr", "pr"]).select(
+    return robust.robust_scales(staged(rates), "size_band", ["lr", "pr"]).select(
         "metric",
         "scope",
         F.round("median", 9).alias("median"),

@@ -10,6 +10,7 @@ from upswell.functions import text
 from upswell.operators import fuzzy, latest
 from upswell.plans import briefs, pool, resolve, shows, signals, taste
 from upswell.sources import landing
+from upswell.staging import staged
 
 
 # --- names ---------------------------------------------------------------------------------
@@ -182,6 +183,10 @@ def plays_of(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def seeds_of(spark: SparkSession, folder: str) -> DataFrame:
+    return staged(taste.user_seeds(plays_of(spark, folder)))
+
+
 def user_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return taste.user_seeds(plays_of(spark, folder)).withColumn("weight", F.round("weight", 9))
 
@@ -193,14 +198,14 @@ def user_library(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_tags(spark: SparkSession, folder: str) -> DataFrame:
-    seeds = taste.user_seeds(plays_of(spark, folder))
+    seeds = seeds_of(spark, folder)
     return taste.user_tags(seeds, views.tracked_signals(spark, folder)).withColumn(
         "weight", F.round("weight", 9)
     )
 
 
 def similar_scores(spark: SparkSession, folder: str) -> DataFrame:
-    seeds = taste.user_seeds(plays_of(spark, folder))
+    seeds = seeds_of(spark, folder)
     links = taste.two_way_links(
         views.similar_edges(spark, folder), views.tracked_signals(spark, folder)
     )

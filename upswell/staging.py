@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``. Unset is accepted on a local master only, where
     this machine is the whole cluster; the folder is made once and kept for the session."""
@@ -37,6 +40,7 @@ def staged(df: DataFrame) -> DataFrame:
     sees the same rows, reads only its columns, and Spark plans joins on the real size."""
     path = scratch_path(df.sparkSession, "staged")
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,3 +48,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash rows over all shuffle partitions. For small inputs of steps that do much work per
     row: adaptive execution would fold them into one task by their size."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables this driver staged. Call it once the results built on them are written;
+    frames that still read them stop working."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
