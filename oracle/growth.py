@@ -232,3 +232,4 @@ ORACLES = {
         "FROM u_stats",
     ),
 }
+ORACLES["growth_signals_compacted"] = ORACLES["growth_signals"]

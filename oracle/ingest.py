@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle import growth  # noqa: F401  (defines user_history)
 from oracle.base import define, query
 
 ROUNDTRIP = """SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS snapshot_date,
@@ -123,3 +124,19 @@ ORACLES = {
       FROM orders LEFT JOIN (SELECT l_orderkey, max(l_linestatus) AS s, max(l_extendedprice) AS p
                              FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 }
+
+ORACLES |= {
+    "rebuild_table": "SELECT p_partkey, p_name, p_size FROM part",
+    "table_comments": """
+      SELECT * FROM (VALUES ('p_partkey', 'bigint', 'The part''s number'), ('p_name', 'string', NULL),
+                            ('p_size', 'int', 'Size, 1 to 50')) t(col_name, data_type, comment)""",
+    "saved_view": "SELECT p_name, count(*) AS parts FROM part GROUP BY p_name",
+    "export_history": query(
+        ["user_history"],
+        """SELECT * FROM user_history WHERE snapshot_date IN
+             (SELECT DISTINCT snapshot_date FROM user_daily ORDER BY 1 DESC LIMIT 10)""",
+    ),
+    "missing_days": """
+      SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
+      WHERE CAST(o_orderdate AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)""",
+}

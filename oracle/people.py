@@ -631,6 +631,11 @@ ORACLES = {
     ),
     "text_sections": query(["briefs"], "SELECT * FROM briefs"),
     "brief_retry_merge": query(["retried"], parsed("retried")),
+    "export_briefs": query(
+        ["briefs"],
+        """SELECT artist_key, name, DATE '2001-05-15' AS as_of_date, brief_md, signing_status,
+             label_mentioned, model, prompt_version, generated_at FROM briefs WHERE error IS NULL""",
+    ),
     "failed_briefs": query(
         ["briefs"], "SELECT count(*) AS briefs, count(error) AS failed FROM briefs"
     ),

@@ -49,6 +49,24 @@ def growth_signals_dense(spark: SparkSession, folder: str) -> DataFrame:
     return shown(out).drop("genres", "tags", "on_tour", "lastfm_url", "possible_alias_of")
 
 
+def growth_signals_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same signals from a history folded twice, then the last two weeks day by day."""
+    daily = views.user_daily(spark, folder)
+    metrics = ["lastfm_listeners", "lastfm_playcount"]
+    last = signals.latest_day(daily)
+    early, late = F.date_sub(last, 22), F.date_sub(last, 14)
+    first = growth.compact_history(daily, early, metrics)
+    between = daily.filter((F.col("snapshot_date") > early) & (F.col("snapshot_date") <= late))
+    folded = staged(growth.compact_history(growth.with_compacted(first, between), late, metrics))
+    out = signals.growth_signals(
+        growth.with_compacted(folded, daily.filter(F.col("snapshot_date") > late)),
+        views.user_charts(spark, folder),
+        profile=views.user_profile(spark, folder),
+        bands=views.USER_BANDS,
+    )
+    return shown(out).withColumn("tags", F.array_join("tags", "|"))
+
+
 def user_history(spark: SparkSession, folder: str) -> DataFrame:
     return growth.growth_history(
         views.user_daily(spark, folder),
@@ -105,6 +123,7 @@ def robust_scales(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "growth_signals": growth_signals,
+    "growth_signals_compacted": growth_signals_compacted,
     "growth_signals_dense": growth_signals_dense,
     "growth_history": user_history,
     "trend_summary": user_trend,

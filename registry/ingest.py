@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswell import views
 from upswell.functions import variants
 from upswell.operators import latest
+from upswell.operators.growth import growth_history
 from upswell.sources import catalog, export, landing
 from upswell.staging import scratch_path
 from upswell.streaming.landing_stream import follow_landing
@@ -339,7 +342,60 @@ def update_matched(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.update_matched(orders, fixes, "o_orderkey", ["o_orderstatus", "o_totalprice"])
 
 
+def rebuilt(spark: SparkSession, folder: str) -> catalog.Names:
+    """Parts saved as a described catalog table, twice, in schemas of their own."""
+    names = catalog.Names(prefix=f"upswell_{uuid.uuid4().hex[:8]}_")
+    catalog.create_schemas(spark, names, scratch_path(spark, "warehouse"))
+    parts = views.table(spark, folder, "part")
+    catalog.rebuild(parts.select("p_partkey"), names("gold", "parts"))
+    catalog.rebuild(
+        parts.select("p_partkey", "p_name", "p_size"),
+        names("gold", "parts"),
+        "One row per part",
+        {"p_partkey": "The part's number", "p_size": "Size, 1 to 50"},
+    )
+    return names
+
+
+def rebuild_table(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(rebuilt(spark, folder)("gold", "parts"))
+
+
+def table_comments(spark: SparkSession, folder: str) -> DataFrame:
+    return catalog.descriptions(spark, rebuilt(spark, folder)("gold", "parts"))
+
+
+def saved_view(spark: SparkSession, folder: str) -> DataFrame:
+    names = rebuilt(spark, folder)
+    catalog.save_view(
+        f"SELECT p_name, count(*) AS parts FROM {names('gold', 'parts')} GROUP BY p_name",
+        spark,
+        names("gold", "part_names"),
+    )
+    return spark.table(names("gold", "part_names"))
+
+
+def export_history(spark: SparkSession, folder: str) -> DataFrame:
+    history = growth_history(
+        views.user_daily(spark, folder),
+        {"lastfm_listeners": "listeners_change", "lastfm_playcount": "playcount_change"},
+    )
+    return export.prepare("artist_growth_history", history, history_days=10)
+
+
+def missing_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days with orders that no line shipped on: the set difference of two tables' days."""
+    ordered = views.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
+    shipped = views.table(spark, folder, "lineitem").select(F.to_date("l_shipdate").alias("day"))
+    return landing.days_to_load(ordered, shipped, 0)
+
+
 QUERIES = {
+    "rebuild_table": rebuild_table,
+    "table_comments": table_comments,
+    "saved_view": saved_view,
+    "export_history": export_history,
+    "missing_days": missing_days,
     "raw_roundtrip": raw_roundtrip,
     "day_replace": day_replace,
     "stream_ingest": stream_ingest,

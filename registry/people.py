@@ -9,7 +9,7 @@ from upswell import views
 from upswell.functions import text
 from upswell.operators import fuzzy, latest
 from upswell.plans import briefs, pool, resolve, shows, signals, taste
-from upswell.sources import landing
+from upswell.sources import export, landing
 from upswell.staging import staged
 
 
@@ -362,6 +362,11 @@ def brief_retry_merge(spark: SparkSession, folder: str) -> DataFrame:
     return briefs.parse_briefs(briefs.merge_retries(raw, again), "v2")
 
 
+def export_briefs(spark: SparkSession, folder: str) -> DataFrame:
+    dated = parsed_briefs(spark, folder).withColumn("as_of_date", pool_day())
+    return export.prepare("scout_briefs", dated)
+
+
 def failed_briefs(spark: SparkSession, folder: str) -> DataFrame:
     return briefs.failed_briefs(parsed_briefs(spark, folder))
 
@@ -407,6 +412,7 @@ QUERIES = {
     "brief_prompts": brief_prompts,
     "text_sections": text_sections,
     "brief_retry_merge": brief_retry_merge,
+    "export_briefs": export_briefs,
     "failed_briefs": failed_briefs,
     "brief_labels": brief_labels,
     "entity_brief": entity_brief,

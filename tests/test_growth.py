@@ -200,3 +200,40 @@ def test_rank_plan_has_no_cross_join_and_one_bounded_window(spark, capsys):
     plan = capsys.readouterr().out
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert plan.count("Exchange SinglePartition") == 1  # the histogram of bins
+
+
+def test_compacted_history_gives_the_same_points(spark):
+    """Random gaps, unknown totals and standstills; folded once, and folded again."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        total, plays = rng.randint(0, 50), 100
+        for d in range(60, -1, -1):
+            if rng.random() < (0.5 if i % 3 else 0.9):
+                continue
+            total += rng.choice([0, 0, 3])
+            plays += rng.choice([0, 5])
+            rows.append((f"k{i}", f"K {i}", ago(d), total, None if rng.random() < 0.2 else plays))
+        rows.append((f"k{i}", f"K {i}", DAY, total, plays))
+    daily = spark.createDataFrame(sorted(set(rows), key=lambda r: (r[0], r[2], r[3])), DAILY)
+    daily = daily.dropDuplicates(["artist_key", "snapshot_date"])
+    metrics = ["lastfm_listeners", "lastfm_playcount"]
+
+    def points(df):
+        out = growth.growth_points(
+            df,
+            F.lit(DAY),
+            [("l", "lastfm_listeners", 7), ("m", "lastfm_listeners", 14), ("p", "lastfm_playcount", 14)],
+            changed=metrics,
+            carry=["name"],
+        )
+        return sorted(map(str, out.collect()))
+
+    after = lambda n: daily.filter(F.col("snapshot_date") > F.lit(ago(n)))
+    once = growth.compact_history(daily, F.lit(ago(14)), metrics)
+    assert once.count() < daily.count() / 2
+    assert points(growth.with_compacted(once, after(14))) == points(daily)
+    first = growth.compact_history(daily, F.lit(ago(35)), metrics)
+    between = after(35).filter(F.col("snapshot_date") <= F.lit(ago(14)))
+    twice = growth.compact_history(growth.with_compacted(first, between), F.lit(ago(14)), metrics)
+    assert points(growth.with_compacted(twice, after(14))) == points(daily)

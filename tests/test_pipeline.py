@@ -75,5 +75,15 @@ def test_daily_runs(spark, tmp_path):
     pipeline.run_gold(lake, F.lit(day))
     assert lake.read("gold", "artist_growth_history").count() == 14 * 9
     pipeline.run_quality(lake, F.lit(day))
+
+    # Folding old days changes no score.
+    def gold():
+        return sorted(map(str, lake.read("gold", "artist_signals").collect()))
+
+    before = gold()
+    pipeline.compact(lake, str(FIRST))
+    assert pipeline.compacted_days(lake) == [str(FIRST)]
+    pipeline.run_gold(lake, F.lit(day))
+    assert gold() == before
     with pytest.raises(quality.QualityCheckFailed, match="stale"):
         pipeline.run_quality(lake, F.lit(day + dt.timedelta(5)))

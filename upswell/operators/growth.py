@@ -12,6 +12,54 @@ from upswell.functions.numbers import half_even, log_rate
 PointWindow = tuple[str, str, int]  # output prefix, value column, window in days
 
 
+def changed_on(rows: DataFrame, metrics: Sequence[str], key: str, day: str) -> Column:
+    """The row's day if any metric differs from the entity's row before it (a NULL always does;
+    the first row never does). Compacted rows carry the answer for the days they stand for."""
+    by_day = Window.partitionBy(key).orderBy(day)
+    moved = F.lit(False)
+    for c in metrics:
+        moved = moved | ~F.lag(c).over(by_day).eqNullSafe(F.col(c)) | F.col(c).isNull()
+    own = F.when((F.row_number().over(by_day) > 1) & moved, F.col(day))
+    if "compacted" not in rows.columns:
+        return own
+    return F.when(F.col("compacted"), F.col("changed_on")).otherwise(own)
+
+
+def compact_history(
+    daily: DataFrame,
+    until: Column,
+    metrics: Sequence[str],
+    key: str = "artist_key",
+    day: str = "snapshot_date",
+) -> DataFrame:
+    """The few rows per entity that growth as of a later day can ask for: its first and last row
+    up to ``until`` and the first and last with each metric known, with the last change in
+    ``changed_on``. Growth over these rows and the days after ``until`` equals growth over the
+    whole history, for any day at least the longest window after ``until``; so a daily run reads
+    some days instead of years. Takes its own output plus newer days as input."""
+    rows = daily.filter(F.col(day) <= until)
+    whole = Window.partitionBy(key)
+    rows = rows.withColumn("_changed_on", changed_on(rows, metrics, key, day))
+    keep = (F.col(day) == F.min(day).over(whole)) | (F.col(day) == F.max(day).over(whole))
+    for c in metrics:
+        known = F.when(F.col(c).isNotNull(), F.col(day))
+        ends = (known == F.min(known).over(whole)) | (known == F.max(known).over(whole))
+        keep = keep | F.coalesce(ends, F.lit(False))
+    kept = rows.withColumn("_keep", keep).withColumn("_last", F.max("_changed_on").over(whole))
+    columns = [c for c in daily.columns if c not in ("changed_on", "compacted")]
+    return kept.filter("_keep").select(
+        *columns, F.col("_last").alias("changed_on"), F.lit(True).alias("compacted")
+    )
+
+
+def with_compacted(compacted: DataFrame, newer: DataFrame) -> DataFrame:
+    """Compacted rows and the plain rows of the days after them, ready for growth."""
+    plain = newer.withColumn("changed_on", F.lit(None).cast("date")).withColumn(
+        "compacted", F.lit(False)
+    )
+    return compacted.unionByName(plain.select(*compacted.columns))
+
+
 def growth_points(
     daily: DataFrame,
     as_of: Column,
@@ -30,14 +78,11 @@ def growth_points(
     first day. ``carry`` columns are taken from the ``as_of`` row.
 
     The window and the aggregate share one shuffle on the entity, and an entity has at most one
-    row per day, so no key grows with the number of rows landed."""
+    row per day, so no key grows with the number of rows landed. Rows of
+    :func:`compact_history` may stand for all days up to some day."""
     rows = daily.withColumn("_as_of", as_of).filter(F.col(day) <= F.col("_as_of"))
     if changed:
-        by_day = Window.partitionBy(key).orderBy(day)
-        moved = F.lit(False)
-        for c in changed:
-            moved = moved | ~F.lag(c).over(by_day).eqNullSafe(F.col(c)) | F.col(c).isNull()
-        rows = rows.withColumn("_moved", (F.row_number().over(by_day) > 1) & moved)
+        rows = rows.withColumn("_changed_on", changed_on(rows, changed, key, day))
     is_today = F.col(day) == F.col("_as_of")
     aggs = [
         F.max("_as_of").alias("as_of_date"),
@@ -46,7 +91,7 @@ def growth_points(
         *[F.max_by(c, is_today).alias(c) for c in carry],
     ]
     if changed:
-        aggs.append(F.max(F.when(F.col("_moved"), F.col(day))).alias("last_changed"))
+        aggs.append(F.max("_changed_on").alias("last_changed"))
     for prefix, value, days in windows:
         point = F.struct(F.col(day).alias("day"), F.col(value).alias("v"))
         known = F.col(value).isNotNull()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswell.operators import latest
-from upswell.operators.growth import growth_history
+from upswell.operators.growth import compact_history, growth_history, with_compacted
 from upswell.plans import quality, resolve, shows, signals
 from upswell.sources import landing
 
@@ -93,21 +93,44 @@ def review_queue(lake: Lake) -> DataFrame:
     )
 
 
+TOTALS = ["artist_key", "name", "snapshot_date", "lastfm_listeners", "lastfm_playcount"]
+
+
+def compacted_days(lake: Lake) -> list[str]:
+    return landing.loaded_days(lake.spark, lake.path("silver", "artist_compacted"), "until")
+
+
+def compact(lake: Lake, until: str) -> None:
+    """Fold the history up to a day, at least two weeks back, into a few rows per entity; later
+    runs of :func:`run_gold` read those and the days since."""
+    metrics = ["lastfm_listeners", "lastfm_playcount"]
+    rows = compact_history(scoring_rows(lake), F.lit(until).cast("date"), metrics)
+    rows.write.mode("overwrite").parquet(lake.path("silver", f"artist_compacted/until={until}"))
+
+
+def scoring_rows(lake: Lake) -> DataFrame:
+    """All daily totals, or the latest compacted ones and the days after."""
+    daily, done = lake.read("silver", "artist_daily").select(*TOTALS), compacted_days(lake)
+    if not done:
+        return daily
+    folded = lake.spark.read.parquet(lake.path("silver", f"artist_compacted/until={done[-1]}"))
+    return with_compacted(folded, daily.filter(F.col("snapshot_date") > F.lit(done[-1]).cast("date")))
+
+
 def run_gold(lake: Lake, today: Column) -> None:
     """Signals, growth history and upcoming shows."""
     daily = lake.read("silver", "artist_daily")
     scored = lake.rebuild(
         signals.growth_signals(
-            daily, lake.read("silver", "chart_daily"), profile=lake.read("silver", "artist_profile")
+            scoring_rows(lake),
+            lake.read("silver", "chart_daily"),
+            profile=lake.read("silver", "artist_profile"),
         ),
         "gold",
         "artist_signals",
     )
-    totals = daily.select(
-        "artist_key", "name", "snapshot_date", "lastfm_listeners", "lastfm_playcount"
-    )
     changes = {"lastfm_listeners": "listeners_change", "lastfm_playcount": "playcount_change"}
-    lake.rebuild(growth_history(totals, changes), "gold", "artist_growth_history")
+    lake.rebuild(growth_history(daily.select(*TOTALS), changes), "gold", "artist_growth_history")
     lake.rebuild(
         shows.upcoming_shows(
             lake.read("silver", "events"),

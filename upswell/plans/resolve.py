@@ -9,6 +9,7 @@ from upswell import settings
 from upswell.functions.text import entity_key, is_tribute, key_to_mbid, match_form
 from upswell.operators.fuzzy import best_match, closest, similar_texts, sorted_tokens
 from upswell.operators.latest import one_per
+from upswell.plans.ranking import BadRequest
 from upswell.staging import staged
 
 MATCH_COLUMNS = (
@@ -158,6 +159,8 @@ def find_entities(signals: DataFrame, names: list[str]) -> DataFrame:
     clear, close and long enough name is taken, else the asker must choose.
 
     signals: artist_key, name, size_band, lastfm_listeners, possible_alias_of."""
+    if len(names) > settings.MAX_LIMIT:
+        raise BadRequest(f"at most {settings.MAX_LIMIT} names at a time")
     spark = signals.sparkSession
     # The names are a short argument; their forms are worked out by the same expressions.
     asked = spark.createDataFrame([(n,) for n in names], "query STRING").withColumn(
