@@ -26,6 +26,15 @@ def test_query_matches_duckdb(spark, con, name):
     assert ok, text
 
 
+def test_no_query_compares_all_with_all(spark):
+    """Nor picks latest rows without limiting each group before the shuffle."""
+    for name in ("show_search_city", "upcoming_shows", "dedupe_latest", "entity_match", "discover"):
+        plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+        if name == "dedupe_latest":
+            assert "WindowGroupLimit" in plan
+
+
 def test_flagship_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
