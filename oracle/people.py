@@ -69,16 +69,22 @@ define(
     ["titles"],
 )
 define(
-    "alike_pairs",
+    "close_pairs",
     f"""
-  SELECT left_text, right_text, {alike("left_text", "right_text")} AS score
+  SELECT left_text, right_text
   FROM (SELECT DISTINCT {tokens("form")} AS left_text FROM billed),
        (SELECT DISTINCT {tokens("form")} AS right_text FROM tracked_names)
   WHERE levenshtein(left_text, right_text)
-        <= floor(0.15 * (length(left_text) + length(right_text)) + 1e-9)
-    AND score >= 85""",
+        <= floor(0.15 * (length(left_text) + length(right_text)) + 1e-9)""",
     ["billed", "tracked_names"],
 )
+define(
+    "alike_pairs",
+    f"""
+  SELECT * FROM (SELECT left_text, right_text, {alike("left_text", "right_text")} AS score
+                 FROM close_pairs) WHERE score >= 85""",
+    ["close_pairs"],
+)
 define(
     "by_form",
     "SELECT form, min(artist_key) AS artist_key, arg_min(name, artist_key) AS artist_name "

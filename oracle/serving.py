@@ -111,7 +111,7 @@ ORACLES = {
            FROM signals""",
     ),
     "data_status": " UNION ALL ".join(
-        f"""SELECT '{t}' AS table_name, count(*) AS row_count, DATE '2001-05-15' AS data_as_of,
+        f"""SELECT '{t}' AS table_name, count(*) AS row_count, 'files' AS source, DATE '2001-05-15' AS data_as_of,
             CAST(5 AS INTEGER) AS days_since_data FROM {t}"""
         for t in ("part", "orders", "lineitem", "events", "customer", "documents")
     ),

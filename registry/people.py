@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.ingest import event_lines
-from registry.serving import joined, shows_table, today
+from registry.serving import shows_table, today
 from upswell import views
 from upswell.functions import text
 from upswell.operators import fuzzy, latest

@@ -10,6 +10,7 @@ from upswell.functions import arrays, numbers, text
 from upswell.operators import latest
 from upswell.operators.growth import growth_history
 from upswell.plans import profile, quality, ranking, shows
+from upswell.sources import export
 
 
 def today() -> Column:
@@ -72,7 +73,8 @@ def data_status(spark: SparkSession, folder: str) -> DataFrame:
         n: views.table(spark, folder, n)
         for n in ("part", "orders", "lineitem", "events", "customer", "documents")
     }
-    return ranking.freshness(tables, views.catalog_signals(spark, folder), today())
+    meta = export.export_meta(tables, "files").drop("exported_at")
+    return ranking.freshness(meta, views.catalog_signals(spark, folder), today())
 
 
 def shows_table(spark: SparkSession, folder: str) -> DataFrame:

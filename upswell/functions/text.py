@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 from upswell import settings
 
 
-def _fold(text: str | None) -> str | None:
+def fold_text(text: str | None) -> str | None:
     if text is None:
         return None
     decomposed = unicodedata.normalize("NFKD", text)
@@ -22,7 +22,7 @@ def _fold(text: str | None) -> str | None:
 
 @pandas_udf(StringType())
 def _fold_unicode(texts: pd.Series) -> pd.Series:
-    return texts.map(_fold)
+    return texts.map(fold_text)
 
 
 def unaccent(text: Column) -> Column:

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from upswell import settings
 from upswell.functions.numbers import size_band
 from upswell.operators.growth import chart_positions
 
