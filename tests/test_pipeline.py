@@ -87,3 +87,15 @@ def test_daily_runs(spark, tmp_path):
     assert gold() == before
     with pytest.raises(quality.QualityCheckFailed, match="stale"):
         pipeline.run_quality(lake, F.lit(day + dt.timedelta(5)))
+
+
+def test_a_first_day_with_artists_only(spark, tmp_path):
+    root, lake = tmp_path / "landing", pipeline.Lake(spark, str(tmp_path / "lake"))
+    (root / "candidates").mkdir(parents=True)
+    (root / "candidates" / "pool.jsonl").write_text('{"artist_key": "k"}\n' * 14)
+    write(root, "lastfm/artist_info", FIRST, [artist(i, FIRST, 20_000 + i, 9) for i in range(14)])
+    metrics = pipeline.run_all(lake, str(root), F.lit(FIRST)).first()
+    assert (metrics.latest_rows, metrics.gold_rows) == (14, 14)
+    rows = lake.read("gold", "artist_signals").collect()
+    assert all(r.breakout_score is None and r.is_provisional for r in rows)
+    assert lake.read("gold", "upcoming_shows").count() == 0

@@ -38,6 +38,9 @@ class Lake:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
+    def raw(self, table: str) -> DataFrame:
+        return landing.read_raw(self.spark, self.path("bronze", table))
+
     def rebuild(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Replace a whole table and go on from what was written."""
         df.write.mode("overwrite").parquet(self.path(layer, table))
@@ -61,7 +64,7 @@ def run_silver(lake: Lake, loaded: dict[str, list[str]]) -> None:
     day depends on that day alone, so earlier days stay as they are."""
     days = [F.lit(d).cast("date") for d in loaded["lastfm_artist_info_raw"]]
     if days:
-        raw = lake.read("bronze", "lastfm_artist_info_raw").filter(F.col("snapshot_date").isin(days))
+        raw = lake.raw("lastfm_artist_info_raw").filter(F.col("snapshot_date").isin(days))
         landing.replace_days(
             landing.parse_artists(landing.only_parsed(raw)), lake.path("silver", "artist_parsed")
         )
@@ -70,12 +73,12 @@ def run_silver(lake: Lake, loaded: dict[str, list[str]]) -> None:
     daily, parsed = lake.read("silver", "artist_daily"), lake.read("silver", "artist_parsed")
     profile = lake.rebuild(latest.artist_profile(parsed, daily), "silver", "artist_profile")
 
-    charts = landing.parse_charts(landing.only_parsed(lake.read("bronze", "lastfm_geo_top_raw")))
+    charts = landing.parse_charts(landing.only_parsed(lake.raw("lastfm_geo_top_raw")))
     lake.rebuild(latest.resolve_chart_names(charts, profile), "silver", "chart_daily")
-    edges = latest.on_latest_day(lake.read("bronze", "lastfm_similar_raw"))
+    edges = latest.on_latest_day(lake.raw("lastfm_similar_raw"))
     lake.rebuild(landing.parse_edges(landing.only_parsed(edges)), "silver", "artist_similar")
 
-    lines = landing.latest_events(landing.only_parsed(lake.read("bronze", "tm_events_raw")))
+    lines = landing.latest_events(landing.only_parsed(lake.raw("tm_events_raw")))
     lake.rebuild(landing.parse_events(lines), "silver", "events")
     bill = lake.rebuild(landing.parse_bills(lines), "silver", "event_performers")
     lake.rebuild(
@@ -146,7 +149,7 @@ def run_gold(lake: Lake, today: Column) -> None:
 
 def run_quality(lake: Lake, today: Column) -> DataFrame:
     """The metrics row; raises when a rule is broken."""
-    bronze = lake.read("bronze", "lastfm_artist_info_raw").select(
+    bronze = lake.raw("lastfm_artist_info_raw").select(
         "snapshot_date", F.try_variant_get("raw", "$.payload.name", "string").alias("name")
     )
     metrics = quality.quality_metrics(

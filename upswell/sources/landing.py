@@ -96,6 +96,17 @@ def loaded_days(spark: SparkSession, path: str, day: str = "snapshot_date") -> l
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day}="))
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table; empty while nothing has landed for it."""
+    if loaded_days(spark, path):
+        return spark.read.parquet(path)
+    return spark.sql(
+        """SELECT CAST(NULL AS DATE) AS snapshot_date, parse_json('null') AS raw,
+                  '' AS _source_file, current_timestamp() AS _ingested_at, '' AS _bad_line
+           LIMIT 0"""
+    )
+
+
 def ingest(
     spark: SparkSession,
     root: str,
