@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswell.llm import arrays
+from upswell.llm.buckets import bucket_links
 from upswell.llm.frames import components, in_batches, staged
 
 SHINGLE_WORDS = 5
@@ -130,37 +131,6 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(similar(F.col("set_a"), F.col("set_b"))).select("a", "b")
 
 
-def bucket_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all documents any chain of confirmed bucket pairs connects.
-
-    ``rows``: key, id and the signature columns. A bucket's members are first compared with a few
-    hubs of it; buckets that are one component then need no more pairs. Only documents of one
-    bucket in different components are paired after that, if size and one-bit minima allow it. So
-    a group of g copies costs about g comparisons, and nothing is left out: two documents that
-    meet in a bucket are compared, or already connected."""
-    facts = ["id", "n_shingles", "bits_a", "bits_b"]
-    # the smallest id of a bucket, and others picked at random but the same each time
-    picks = [F.col("id"), *(F.xxhash64("id", F.lit(i)) for i in range(1, HUBS))]
-    hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(F.struct(*facts), p) for p in picks))).alias("hubs"))
-    met = rows.alias("m").join(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*").alias("h"), "key")
-    links = staged(_verified(_pairs(met.filter(F.col("m.id") != F.col("h.id")), "m", "h"), sets))
-    named = rows.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = staged(named)
-    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    named = named.join(open_.filter("low < high").select("key"), "key")
-    met = named.alias("x").join(
-        named.alias("y"),
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_be_similar("x", "y"),
-    )
-    return links.union(_verified(_pairs(met, "x", "y"), sets))
-
-
-def _pairs(met: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct candidate pairs, the smaller id first."""
-    ids = F.col(f"{a}.id"), F.col(f"{b}.id")
-    return met.filter(may_be_similar(a, b)).select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -187,7 +157,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         needed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
     )
     sets = staged(in_batches(texts, _set_rows, "id long, shingles array<long>"))
-    links = bucket_links(rows, sets)
+    # the smallest id of a bucket, and others picked at random but the same each time
+    picks = [F.col("id"), *(F.xxhash64("id", F.lit(i)) for i in range(1, HUBS))]
+    facts = ["id", "n_shingles", "bits_a", "bits_b"]
+    links = bucket_links(rows, facts, picks, may_be_similar, lambda pairs: _verified(pairs, sets))
     same = linkable.join(
         classes.select("n_shingles", "print_a", "print_b", "id"), ["n_shingles", "print_a", "print_b"]
     ).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))

@@ -3,17 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from upswell.llm import minhash
+from upswell.llm import line_dedup, minhash
 from upswell.llm.frames import table
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of each document that repeat an earlier line of the corpus; lines count from 0, and
+    lines without a visible character are not counted."""
+    docs = table(spark, folder, "documents")
+    gone = F.col("equal_to_earlier") | F.col("near_to_earlier")
+    found = line_dedup.line_classes(docs).groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"),
+        F.count_if("equal_to_earlier").alias("n_equal"),
+        F.count_if("near_to_earlier").alias("n_near"),
+        F.array_join(F.sort_array(F.collect_list(F.when(gone, F.col("line_no")))), ",").alias("repeated_lines"),
+    )
+    counts = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("n_lines", "n_equal", "n_near")}
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", *counts.values(), F.coalesce("repeated_lines", F.lit("")).alias("repeated_lines")
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Component and survivor of every document; SHINGLE_WORDS and similarity as the module has them."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
