@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import line_dedup, minhash
+from upswell.llm import decontaminate, line_dedup, minhash
 from upswell.llm.frames import table
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item found in any document, at its best place."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of each document that repeat an earlier line of the corpus; lines count from 0, and
     lines without a visible character are not counted."""
@@ -32,6 +37,7 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
