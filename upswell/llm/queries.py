@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import decontaminate, line_dedup, minhash
-from upswell.llm.frames import table
+from upswell.llm import decontaminate, line_dedup, minhash, quality
+from upswell.llm.frames import held_out, table
 
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +31,15 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, by a model that learns from the labels not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_kept").cast("int").alias("predicted")
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Component and survivor of every document; SHINGLE_WORDS and similarity as the module has them."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
@@ -39,6 +48,7 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
