@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import decontaminate, line_dedup, minhash, quality
+from upswell.llm import bpe, decontaminate, line_dedup, minhash, quality
 from upswell.llm.frames import held_out, table
 
 
@@ -40,6 +41,16 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text, and the text they give back, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Component and survivor of every document; SHINGLE_WORDS and similarity as the module has them."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
@@ -49,6 +60,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
