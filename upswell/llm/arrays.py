@@ -139,7 +139,7 @@ def rows_of(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts) - 1), np.diff(counts))
 
 
-def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+def list_array(values: np.ndarray | pa.Array, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import bpe, decontaminate, line_dedup, minhash, quality
+from upswell.llm import bpe, decontaminate, line_dedup, minhash, quality, token_file
 from upswell.llm.frames import held_out, table
 
 
@@ -41,6 +41,13 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text in files, and what the files say of each document."""
+    path = token_file.fresh_path(spark)
+    token_file.write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_file.read_index(spark, path)
+
+
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text, and the text they give back, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +67,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
