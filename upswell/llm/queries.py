@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import bpe, chat, decontaminate, line_dedup, minhash, quality, token_file
+from upswell.llm import bpe, chat, decontaminate, line_dedup, minhash, neighbours, quality, token_file
 from upswell.llm.frames import held_out, table
 
 
@@ -82,6 +82,12 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest found to every vector whose id is divisible by 50, among all others."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -90,6 +96,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
 }
 
 _ESCAPED = "replace(replace({0}, chr(92), chr(92) || 'b'), '<|', chr(92) || 'l')"
