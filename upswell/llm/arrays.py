@@ -79,13 +79,13 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text, ends
 
 
-def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole rows of about ``most`` bytes (a longer row stands alone):
+def text_slices(column: pa.Array, most: int = SLICE_BYTES, rows: int = 1 << 16) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole rows of about ``most`` bytes (a longer row stands alone) and at most ``rows``:
     first row, last row + 1, bytes, offsets from 0."""
     text, ends = buffers(column)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + most, side="right")) - 1)
+        last = max(first + 1, min(first + rows, int(np.searchsorted(ends, ends[first] + most, side="right")) - 1))
         yield first, last, text[ends[first] : ends[last]], ends[first : last + 1] - ends[first]
         first = last
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import bpe, chat, decontaminate, line_dedup, minhash, neighbours, quality, token_file
+from upswell.llm import bpe, chat, decontaminate, language, line_dedup, minhash, neighbours, quality, token_file
 from upswell.llm.frames import held_out, table
 
 
@@ -88,6 +88,15 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), 5)
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, by a model that learns from the documents not held out."""
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs)
+    return language.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -97,6 +106,7 @@ QUERIES = {
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_language_id": op10_language_id,
 }
 
 _ESCAPED = "replace(replace({0}, chr(92), chr(92) || 'b'), '<|', chr(92) || 'l')"
