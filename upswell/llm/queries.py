@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import bpe, chat, decontaminate, language, line_dedup, minhash, neighbours, quality, token_file
+from upswell.llm import bpe, chat, decontaminate, language, line_dedup, minhash, neighbours, passages, quality, token_file
 from upswell.llm.frames import held_out, table
 
 
@@ -77,6 +77,15 @@ def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that occur again, of every document that has one: their number,
+    words, and places (start-end of each, words from 0)."""
+    found = passages.repeated_passages(table(spark, folder, "documents"))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end_word"] - s["start_word"])
+    places = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start_word"], s["end_word"])), ",")
+    return found.select("doc_id", F.size("spans").alias("n_passages"), words.alias("repeated_words"), places.alias("passages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Component and survivor of every document; SHINGLE_WORDS and similarity as the module has them."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
@@ -104,6 +113,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_token_files": op5_token_files,
     "op6_bpe_round_trip": op6_bpe_round_trip,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
