@@ -94,9 +94,10 @@ CTES: dict[str, str] = {
              'https://example.com/o/' || o_orderkey AS ticket_url, o_orderpriority AS tm_genre
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "bills": """
-      SELECT l_orderkey AS event_id, l_linenumber - 1 AS billing_order,
-             'p' || min(l_partkey) AS attraction_id, 'Part ' || min(l_partkey) AS performer_name
-      FROM lineitem GROUP BY l_orderkey, l_linenumber""",
+      SELECT l_orderkey AS event_id, CAST(row_number() OVER (PARTITION BY l_orderkey
+               ORDER BY l_linenumber, l_partkey, l_shipdate, l_extendedprice) - 1 AS INTEGER) AS billing_order,
+             'p' || l_partkey AS attraction_id, 'Part ' || l_partkey AS performer_name
+      FROM lineitem""",
     "bill_matches": """
       SELECT 'p' || p_partkey AS attraction_id, 'Part ' || p_partkey AS performer_name,
              'mbid:p' || p_partkey AS artist_key,

@@ -118,10 +118,10 @@ def signals_sql(prefix: str, daily: str, charts: str, bands: list[tuple[int, str
         f"""
       SELECT artist_key, name, as_of_date, l_now AS lastfm_listeners, p_now AS lastfm_playcount,
         size_band,
-        CASE WHEN bz IS NOT NULL THEN round_even(round(
+        CASE WHEN bz IS NOT NULL THEN round_even(round(round(
           (rank() OVER (PARTITION BY bz IS NULL ORDER BY bz)
            + (count(*) OVER (PARTITION BY bz) - 1) / 2.0::DOUBLE)
-          / count(bz) OVER () * 100, 9), 1) END AS breakout_score,
+          / count(bz) OVER () * 100, 9) * 10, 6), 0) / 10 END AS breakout_score,
         CASE WHEN bz IS NOT NULL THEN
           CAST(rank() OVER (ORDER BY bz DESC NULLS LAST) AS INTEGER) END AS breakout_rank,
         round(bz, 6) AS breakout_z,
@@ -182,7 +182,7 @@ define(
     CASE WHEN days >= 3 THEN up END AS days_with_increase,
     CASE WHEN days >= 3 THEN biggest END AS largest_one_day_change,
     CASE WHEN days >= 3 THEN top.d END AS largest_one_day_date,
-    CASE WHEN days >= 3 AND total > 0 THEN round_even(round(biggest / total, 9), 3) END
+    CASE WHEN days >= 3 AND total > 0 THEN round_even(round(round(biggest / total, 9) * 1000, 6), 0) / 1000 END
       AS largest_one_day_share,
     CASE WHEN days >= 3 THEN gaps END AS gaps
   FROM (

@@ -174,9 +174,7 @@ define(
   SELECT l.user, l.period, l.name, l.mbid, l.playcount,
     coalesce('mbid:' || lower(l.mbid), 'name:' || lower(l.name)) AS own_key,
     coalesce(k.artist_key, n.artist_key) AS artist_key
-  FROM (SELECT * FROM listening QUALIFY row_number() OVER (PARTITION BY "user", period
-          ORDER BY playcount DESC, name, mbid NULLS FIRST)
-          <= CASE period WHEN 'overall' THEN 500 ELSE 50 END) l
+  FROM listening l
   LEFT JOIN tracked k ON k.artist_key = 'mbid:' || lower(l.mbid)
   LEFT JOIN (SELECT lower(name) AS lname, artist_key FROM tracked
              QUALIFY row_number() OVER (PARTITION BY lower(name) ORDER BY possible_alias_of
@@ -224,8 +222,7 @@ define(
         WHERE artist_key IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY "user", artist_key ORDER BY place DESC) = 1
         UNION ALL
-        SELECT "user", own_key, name, weight, false FROM seeds WHERE artist_key IS NULL
-        QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY place) <= 10) s
+        SELECT "user", own_key, name, weight, false FROM seeds WHERE artist_key IS NULL) s
   JOIN (SELECT from_key AS seed_key, to_key AS candidate, match, true AS outward FROM edges
         UNION ALL SELECT to_key, from_key, match, false FROM edges) e
     ON e.seed_key = s.seed_key AND (owned OR outward)
@@ -263,8 +260,8 @@ def scored_pairs(source: str) -> str:
     return f"""
   SELECT p.user, p.artist_key, coalesce(l.plays, 0) AS plays,
     coalesce(l.familiarity, 0.0) AS familiarity,
-    round_even(round(CASE WHEN h.user IS NULL THEN coalesce(c.cosine, 0)
-               ELSE 0.7 * coalesce(s.sim, 0) + 0.3 * coalesce(c.cosine, 0) END, 9), 3) AS affinity,
+    round_even(round(round(CASE WHEN h.user IS NULL THEN coalesce(c.cosine, 0)
+               ELSE 0.7 * coalesce(s.sim, 0) + 0.3 * coalesce(c.cosine, 0) END, 9) * 1000, 6), 0) / 1000 AS affinity,
     concat_ws('; ',
       CASE WHEN l.plays > 0 THEN 'you''ve played them ' || l.plays
         || CASE WHEN l.plays = 1 THEN ' time' ELSE ' times' END END,
@@ -295,9 +292,9 @@ define(
 define(
     "breaking",
     """
-  SELECT l.user, l.artist_key, round_even(round(breakout_score / 100
+  SELECT l.user, l.artist_key, round_even(round(round(breakout_score / 100
       * greatest(0, least(1, ln(1000000 / lastfm_listeners) / ln(100)))
-      * (0.25 + 0.75 * familiarity), 9), 3) AS rank_score
+      * (0.25 + 0.75 * familiarity), 9) * 1000, 6), 0) / 1000 AS rank_score
   FROM library l JOIN tracked t USING (artist_key)
   WHERE breakout_score >= 70 AND possible_alias_of IS NULL""",
     ["library", "tracked"],
@@ -326,7 +323,7 @@ def user_shows(weights: dict[str, float]) -> str:
       FROM (
         SELECT k.user, s.event_id, s.event_date, s.artist_key, s.artist_name, s.city,
           s.is_headliner, s.min_price, k.plays, k.affinity, k.because,
-          round_even(round(({score}) * CASE WHEN s.is_headliner THEN 1.0 ELSE 0.8 END, 9), 3) AS rank_score,
+          round_even(round(round(({score}) * CASE WHEN s.is_headliner THEN 1.0 ELSE 0.8 END, 9) * 1000, 6), 0) / 1000 AS rank_score,
           count(*) OVER (PARTITION BY k.user) AS total_matches,
           count(s.min_price) OVER (PARTITION BY k.user) AS priced_matches,
           CAST(row_number() OVER (PARTITION BY k.user ORDER BY rank_score DESC, s.event_date,
@@ -443,7 +440,7 @@ define(
 )
 
 BIO = r"regexp_replace(coalesce(bio_summary, ''), '^\s+|\s+$', '', 'g')"
-PERCENT = "coalesce(printf('%+.1f%%', round_even(round({c}, 9), 1)), 'n/a')"
+PERCENT = "coalesce(printf('%+.1f%%', round_even(round(round({c}, 9) * 10, 6), 0) / 10), 'n/a')"
 
 ORACLES = {
     "normalize_names": rf"""
@@ -541,9 +538,9 @@ ORACLES = {
       FROM (SELECT s.user,
               string_agg(concat_ws('=', s.name, s.plays, t.size_band), '|' ORDER BY place)
                 FILTER (place <= 10) AS top_artists,
-              round_even(round(count(s.artist_key) / count(*), 9), 3) AS coverage,
-              round_even(round(coalesce(sum(weight) FILTER (size_band IN ('<10k', '10k-50k', '50k-500k')), 0)
-                / coalesce(sum(weight) FILTER (s.artist_key IS NOT NULL), 1), 9), 3) AS emerging_share
+              round_even(round(round(count(s.artist_key) / count(*), 9) * 1000, 6), 0) / 1000 AS coverage,
+              round_even(round(round(coalesce(sum(weight) FILTER (size_band IN ('<10k', '10k-50k', '50k-500k')), 0)
+                / coalesce(sum(weight) FILTER (s.artist_key IS NOT NULL), 1), 9) * 1000, 6), 0) / 1000 AS emerging_share
             FROM seeds s LEFT JOIN tracked t USING (artist_key) GROUP BY s.user) s
       LEFT JOIN (SELECT "user", array_to_string(list(tag ORDER BY round(weight, 9) DESC, tag)[1:10], '|')
                    AS top_tags FROM utags GROUP BY 1) u USING ("user")
@@ -566,7 +563,7 @@ ORACLES = {
       FROM (SELECT f.user, artist_key, t.name, t.breakout_score, t.size_band, t.lastfm_listeners,
               f.affinity, f.because, f.plays AS your_plays,
               f.affinity * t.breakout_score / 100 * (1 - f.familiarity) ** 2 AS r,
-              round_even(round(r, 9), 3) AS rank_score
+              round_even(round(round(r, 9) * 1000, 6), 0) / 1000 AS rank_score
             FROM found f JOIN tracked t USING (artist_key)
             WHERE t.possible_alias_of IS NULL AND t.breakout_score >= 70 AND t.size_band <> '2M+'
               AND r > 0)

@@ -104,9 +104,9 @@ ORACLES = {
         """SELECT max(as_of_date) AS as_of_date,
              median(growth_window_days) FILTER (breakout_score IS NOT NULL) AS median_window_days,
              CAST(5 AS INTEGER) AS age_days,
-             'Data is 5 days old (as of 2001-05-15).' || CASE WHEN
+             'latest day is 2001-05-15, 5 days ago' || CASE WHEN
                median(growth_window_days) FILTER (breakout_score IS NOT NULL) > 7
-               THEN '|''7-day'' growth is measured over 8 days: read it as growth since 2001-05-07.'
+               THEN '|weekly growth compares with 2001-05-07, 8 days before'
                ELSE '' END AS notes
            FROM signals""",
     ),
@@ -185,17 +185,17 @@ ORACLES = {
     "quality_metrics": query(
         ["snapshots", "clean_daily"],
         """
-      SELECT *, 'stale: newest snapshot is 2024-01-30, expected 2024-02-01 or later'
-          || CASE WHEN latest_rows < 0.9 * pool_size THEN '|low coverage: ' || latest_rows
-               || ' rows for a pool of ' || pool_size ELSE '' END
+      SELECT *, 'latest day 2024-01-30 is before 2024-02-01'
+          || CASE WHEN latest_rows < 0.9 * pool_size THEN '|only ' || latest_rows || ' of '
+               || pool_size || ' tracked entities have a row' ELSE '' END
           || CASE WHEN duplicate_rows > 0 THEN '|' || duplicate_rows
-               || ' duplicate (artist_key, snapshot_date) rows' ELSE '' END
+               || ' rows repeat an entity and day' ELSE '' END
           || CASE WHEN bronze_latest_distinct_names - latest_rows > 0.01 * bronze_latest_rows
-               THEN '|parsing lost ' || bronze_latest_distinct_names - latest_rows || ' of '
-               || bronze_latest_rows || ' raw rows' ELSE '' END
-          || CASE WHEN gold_rows <> latest_rows THEN '|' || gold_rows || ' scored entities for '
-               || latest_rows || ' on the latest day' ELSE '' END
-          || CASE WHEN gold_bad_scores > 0 THEN '|' || gold_bad_scores || ' scores outside 0-100'
+               THEN '|' || bronze_latest_distinct_names - latest_rows || ' of '
+               || bronze_latest_rows || ' raw rows did not parse' ELSE '' END
+          || CASE WHEN gold_rows <> latest_rows THEN '|' || gold_rows || ' signal rows for '
+               || latest_rows || ' entities' ELSE '' END
+          || CASE WHEN gold_bad_scores > 0 THEN '|' || gold_bad_scores || ' scores are not within 0 and 100'
                ELSE '' END AS failures
       FROM (SELECT
         (SELECT max(snapshot_date) FROM clean_daily) AS latest_date,

@@ -243,7 +243,7 @@ def user_shows(spark: SparkSession, folder: str, who: str, cheap: bool) -> DataF
     )
     return taste.shows_for_users(
         built(spark, folder), matching, views.order_bills(spark, folder), who, cheap
-    ).drop("headliner", "lineup_size")
+    ).drop("headliner", "lineup_size", "score_parts")
 
 
 def shows_for_users(spark: SparkSession, folder: str) -> DataFrame:

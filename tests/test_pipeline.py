@@ -85,7 +85,7 @@ def test_daily_runs(spark, tmp_path):
     assert pipeline.compacted_days(lake) == [str(FIRST)]
     pipeline.run_gold(lake, F.lit(day))
     assert gold() == before
-    with pytest.raises(quality.QualityCheckFailed, match="stale"):
+    with pytest.raises(quality.QualityCheckFailed, match="latest day"):
         pipeline.run_quality(lake, F.lit(day + dt.timedelta(5)))
 
 

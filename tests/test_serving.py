@@ -132,7 +132,8 @@ def test_show_search(show_rows, signals):
     assert {r.event_id for r in search(show_rows, signals, max_price=30.0, require_price=True)} == {"e1"}
     assert {r.artist_key for r in search(show_rows, signals, min_score=60.0)} == {"a"}
     assert {r.artist_key for r in search(show_rows, signals, genre="ROCK")} == {"f"}
-    assert search(show_rows, signals, city="Paris") == []
+    with pytest.raises(ranking.BadRequest, match="Montréal"):
+        search(show_rows, signals, city="Paris")
     for bad in ({"days_ahead": 0}, {"days_ahead": 91}, {"max_price": -1.0}, {"min_score": 101.0}):
         with pytest.raises(ranking.BadRequest):
             search(show_rows, signals, **bad)
@@ -200,14 +201,14 @@ METRICS = "latest_date date, pool_size bigint, latest_rows bigint, duplicate_row
     [
         ({}, None),
         ({"latest_date": TODAY - dt.timedelta(1)}, None),
-        ({"latest_date": TODAY - dt.timedelta(2)}, "stale"),
-        ({"latest_date": None}, "stale"),
-        ({"latest_rows": 89, "gold_rows": 89, "bronze_latest_distinct_names": 89}, "coverage"),
+        ({"latest_date": TODAY - dt.timedelta(2)}, "latest day"),
+        ({"latest_date": None}, "no day"),
+        ({"latest_rows": 89, "gold_rows": 89, "bronze_latest_distinct_names": 89}, "tracked"),
         ({"pool_size": 0}, None),
-        ({"duplicate_rows": 1}, "duplicate"),
-        ({"bronze_latest_distinct_names": 97}, "lost"),
-        ({"gold_rows": 94}, "scored"),
-        ({"gold_bad_scores": 2}, "outside"),
+        ({"duplicate_rows": 1}, "repeat"),
+        ({"bronze_latest_distinct_names": 97}, "parse"),
+        ({"gold_rows": 94}, "signal rows"),
+        ({"gold_bad_scores": 2}, "within"),
     ],
 )
 def test_quality_rules(spark, change, word):

@@ -110,7 +110,7 @@ def valid_username(user: Column) -> Column:
 
 
 def key_to_mbid(key: Column) -> Column:
-    return F.when(key.startswith("mbid:"), F.substring(key, 6, 1_000_000))
+    return F.when(key.startswith("mbid:"), F.substr(key, F.lit(6)))
 
 
 def strip(text: Column) -> Column:

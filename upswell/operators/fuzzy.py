@@ -153,8 +153,8 @@ def similar_texts(
     left: DataFrame, right: DataFrame, cutoff: float = settings.REVIEW_THRESHOLD
 ) -> DataFrame:
     """All (left text, right text) pairs that score at least ``cutoff``: columns ``left_text``,
-    ``right_text``, ``score``. Inputs have one distinct ``text`` column. Texts of one letter
-    match nothing but themselves and are left out."""
+    ``right_text``, ``score``. Inputs have one distinct ``text`` column. Texts of one letter share
+    no letter pair with another text; they match themselves only."""
     long = shortest_text(3, cutoff)
     if shortest_text(2, cutoff) > 3:
         raise ValueError(f"a cutoff of {cutoff} is too low to find short names by letter pairs")
@@ -169,9 +169,15 @@ def similar_texts(
             F.least(F.length("left_text"), F.length("right_text")) < long
         )
     )
-    return found.select(
+    scored = found.select(
         "left_text", "right_text", likeness_of("left_text", "right_text").alias("score")
     ).filter(F.col("score") >= cutoff)
+    single = left.filter(size == 1).join(right.filter(size == 1), "text")
+    return scored.unionByName(
+        single.select(
+            F.col("text").alias("left_text"), F.col("text").alias("right_text"), F.lit(100.0).alias("score")
+        )
+    )
 
 
 def closest(scored: DataFrame, names: list[str], text: str, n: int = 4) -> DataFrame:

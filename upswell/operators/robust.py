@@ -167,8 +167,17 @@ def value_ranks(df: DataFrame, value: str) -> DataFrame:
 
 def with_ranks(df: DataFrame, value: str, rank: str, percentile: str) -> DataFrame:
     """Add the rank (1 = highest) and the percentile rounded half-even to one decimal; both are
-    NULL where the value is."""
+    NULL where the value is. Rows without a value, which can be most of them, are dealt out by
+    their other columns instead of meeting on NULL."""
     ranks = value_ranks(df, value).select(
-        value, F.col("rank").alias(rank), half_even(F.col("pct"), 1).alias(percentile)
+        F.col(value).alias("_value"),
+        F.lit(0).cast("bigint").alias("_deal"),
+        F.col("rank").alias(rank),
+        half_even(F.col("pct"), 1).alias(percentile),
+    )
+    others = [c for c, kind in df.dtypes if c != value and not kind.startswith(("map", "variant"))]
+    dealt = F.when(F.col(value).isNull(), F.xxhash64(*others)).otherwise(F.lit(0))
+    rows = df.withColumn("_deal", dealt)
+    return rows.join(ranks, (F.col(value) == F.col("_value")) & (rows["_deal"] == ranks["_deal"]), "left").drop(
+        "_value", rows["_deal"], ranks["_deal"]
     )
-    return df.join(ranks, value, "left")

@@ -9,6 +9,7 @@ from upswell import settings
 from upswell.operators.growth import trend_summary
 from upswell.operators.latest import one_per, top_per
 from upswell.plans.shows import lineups
+from upswell.staging import staged
 
 
 def latest_briefs(briefs: DataFrame) -> DataFrame:
@@ -26,11 +27,13 @@ def entity_profiles(
     shows: DataFrame,
     performers: DataFrame,
     today: Column,
+    max_shows: int = settings.MAX_LIMIT,
 ) -> DataFrame:
-    """Signals, trend, daily totals, newest brief and coming shows (the first 50 by date).
+    """Signals, trend, daily totals, newest brief, the first ``max_shows`` coming shows by date and
+    how many there are (``upcoming_total``).
 
-    ``requests`` has ``artist_key``. Daily totals are one value per day and shows are capped by
-    the page size, so no list grows with the data."""
+    ``requests`` has ``artist_key``. Daily totals are one value per day and a page of shows is
+    listed, so no list grows with the data."""
     keys = requests.select("artist_key").distinct()
     signals = signals.join(keys, "artist_key", "left_semi")
     history = history.join(keys, "artist_key", "left_semi")
@@ -49,15 +52,11 @@ def entity_profiles(
         F.struct("brief_md", "signing_status", "label_mentioned", "generated_at").alias("scout_brief"),
     )
     as_of = signals.select(F.max("as_of_date")).scalar()
-    coming = top_per(
-        shows.join(keys, "artist_key", "left_semi").filter(
-            F.col("event_date") >= F.greatest(as_of, today)
-        ),
-        ["artist_key"],
-        [F.col("event_date"), F.col("event_id")],
-        settings.MAX_LIMIT,
-        "_place",
-    )
+    ahead = shows.join(keys, "artist_key", "left_semi").filter(F.col("event_date") >= F.greatest(as_of, today))
+    totals = ahead.groupBy("artist_key").agg(F.count("*").alias("upcoming_total"))
+    coming = top_per(ahead, ["artist_key"], [F.col("event_date"), F.col("event_id")], max_shows, "_place")
+    coming = staged(coming)  # read for its bills and for itself
+    more = [c for c in ("local_time", "event_name", "max_price", "currency", "ticket_url", "status") if c in shows.columns]
     bills = lineups(performers.join(coming.select("event_id"), "event_id", "left_semi"))
     listed = (
         coming.join(bills, "event_id", "left")
@@ -77,12 +76,13 @@ def entity_profiles(
                         "headliner",
                         "lineup",
                         "lineup_size",
+                        *more,
                     )
                 )
             ).alias("upcoming_shows")
         )
     )
     out = signals.withColumn("tags", F.slice("tags", 1, 10))
-    for part in (trend, daily, brief, listed):
+    for part in (trend, daily, brief, listed, totals):
         out = out.join(part, "artist_key", "left")
-    return out
+    return out.withColumn("upcoming_total", F.coalesce("upcoming_total", F.lit(0)))

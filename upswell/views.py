@@ -218,20 +218,15 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_bills(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as the bill: line number 1 headlines. A line landed twice counts once."""
-    return (
-        table(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_orderkey").alias("event_id"),
-            (F.col("l_linenumber") - 1).alias("billing_order"),
-        )
-        .agg(F.min("l_partkey").alias("part"))
-        .select(
-            "event_id",
-            "billing_order",
-            F.concat(F.lit("p"), F.col("part")).alias("attraction_id"),
-            F.concat(F.lit("Part "), F.col("part")).alias("performer_name"),
-        )
+    """Line items as the bill, every line an act: the first headlines. Line numbers repeat within an
+    order, so part and ship date break ties."""
+    order = ["l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice"]
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+    return table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("event_id"),
+        (place - 1).alias("billing_order"),
+        F.concat(F.lit("p"), F.col("l_partkey")).alias("attraction_id"),
+        F.concat(F.lit("Part "), F.col("l_partkey")).alias("performer_name"),
     )
 
 
