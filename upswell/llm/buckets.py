@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ def bucket_links(
     facts: Sequence[str],
     picks: Sequence[Column],
     may_link: Callable[[str, str], Column],
+    others: Callable[[DataFrame], DataFrame],
     confirmed: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Links (a, b) that connect all ids any chain of confirmed bucket pairs connects.
@@ -22,24 +25,76 @@ def bucket_links(
     ``rows`` have key, id and the columns ``facts`` (id among them); ``may_link`` tests two aliases
     of rows, ``confirmed`` gives the pairs (a, b) that are links. A bucket's members are first
     compared with a few hubs of it, one by each of ``picks``; buckets that are one component then
-    need no more pairs. Only ids of one bucket in different components are paired after that, if
-    ``may_link`` allows it. So a group of g copies costs about g comparisons, and nothing is left
-    out: two ids that meet in a bucket are compared, or already connected."""
+    need no more pairs. For the rows (with component) of other buckets ``others`` gives the pairs
+    of one bucket in different components that may be links. So a group of g copies costs about g
+    comparisons, and nothing is left out: two ids that meet in a bucket are compared, or already
+    connected."""
     hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(F.struct(*facts), p) for p in picks))).alias("hubs"))
     met = rows.alias("m").join(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*").alias("h"), "key")
-    links = staged(confirmed(_pairs(met.filter((F.col("m.id") != F.col("h.id")) & may_link("m", "h")), "m", "h")))
+    met = met.filter((F.col("m.id") != F.col("h.id")) & may_link("m", "h"))
+    pairs = met.select(F.least("m.id", "h.id").alias("a"), F.greatest("m.id", "h.id").alias("b")).distinct()
+    links = staged(confirmed(pairs))
     named = rows.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = staged(named)
     open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     named = named.join(open_.filter("low < high").select("key"), "key")
-    met = named.alias("x").join(
-        named.alias("y"),
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"),
-    )
-    return links.union(confirmed(_pairs(met, "x", "y")))
+    return links.union(confirmed(others(named).distinct()))
 
 
-def _pairs(met: DataFrame, a: str, b: str) -> DataFrame:
-    """Distinct candidate pairs, the smaller id first."""
-    ids = F.col(f"{a}.id"), F.col(f"{b}.id")
-    return met.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
+def pairs_in_buckets(rows: DataFrame, columns: Sequence[str], near: Callable[[dict[str, np.ndarray], int], np.ndarray]) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components that ``near`` lets through.
+
+    ``near`` tests one row of a bucket against all. A bucket's rows are compared inside its task, and
+    only those outside its largest component with all others; what is sent on are the pairs found."""
+    names = ["key", "id", "component", *columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch.column("key").to_numpy()
+            done = int(np.searchsorted(keys, keys[-1], side="left"))
+            if done == 0 and rest and rest[0].column("key")[0].as_py() == int(keys[0]):
+                rest.append(batch)
+                continue
+            yield from _found(pa.Table.from_batches([*rest, batch.slice(0, done)]), names, near)
+            rest = [batch.slice(done)]
+        if rest:
+            yield from _found(pa.Table.from_batches(rest), names, near)
+
+    return rows.select(names).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def _array(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    if pa.types.is_binary(column.type):  # values of one length
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _found(table: pa.Table, names: Sequence[str], near: Callable) -> Iterator[pa.RecordBatch]:
+    if not len(table):
+        return
+    columns = {n: _array(table.column(n)) for n in names}
+    key = columns["key"]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    a, b, held = [], [], 0
+    for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
+        bucket = {n: c[first:last] for n, c in columns.items()}
+        ids, component = bucket["id"], bucket["component"]
+        found, sizes = np.unique(component, return_counts=True)
+        apart = component != found[np.argmax(sizes)]
+        for i in np.flatnonzero(apart).tolist():
+            other = component != component[i]
+            other[:i] &= ~apart[:i]  # pairs of two such rows once
+            good = ids[other & near(bucket, i)]
+            if len(good):
+                a.append(np.minimum(good, ids[i]))
+                b.append(np.maximum(good, ids[i]))
+                held += len(good)
+        if held > 100_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            a, b, held = [], [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswell.llm import arrays
-from upswell.llm.buckets import bucket_links
+from upswell.llm.buckets import bucket_links, pairs_in_buckets
 from upswell.llm.frames import components, in_batches, staged
 
 SHINGLE_WORDS = 5
@@ -20,6 +20,10 @@ BANDS, ROWS = 32, 4
 #: deviation of 3.7; six deviations more are let through to the full sets.
 MOST_DIFFERENT_BITS = 38
 HUBS = 3
+#: Documents not yet connected by hubs are compared by so many more minima, a byte of each. At the
+#: limit 0.751 of them agree on average, with a standard deviation of 0.019; 4.5 less are let through.
+SKETCH = 512
+LEAST_EQUAL = 340
 
 _A = arrays.seeds(BANDS * ROWS, 200_000) | np.uint64(1)
 _B = arrays.seeds(BANDS * ROWS, 300_000)
@@ -109,6 +113,30 @@ def _set_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _sketch_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    a, b = (arrays.seeds(2 * SKETCH, 400_000).reshape(2, SKETCH, 1) >> np.uint64(32)).astype(np.uint32)
+    found = []
+    for shingles in batch.column("shingles"):
+        values = (shingles.values.to_numpy().view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+        least = np.full(SKETCH, np.iinfo(np.uint32).max)
+        for at in range(0, len(values), 2048):
+            with np.errstate(over="ignore"):
+                np.minimum(least, ((a | 1) * values[None, at : at + 2048] + b).min(axis=1), out=least)
+        found.append((arrays.mixed(least.astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
+    yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "sketch"])
+
+
+def _near(bucket: dict[str, np.ndarray], i: int) -> np.ndarray:
+    """Documents whose size and sketch allow similarity with document i."""
+    sizes = bucket["n_shingles"]
+    good = np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * SIMILARITY_PERCENT
+    at = np.flatnonzero(good)
+    for first in range(0, len(at), 4096):
+        some = at[first : first + 4096]
+        good[some] = (bucket["sketch"][some] == bucket["sketch"][i]).sum(axis=1) >= LEAST_EQUAL
+    return good
+
+
 def similar(a: Column, b: Column) -> Column:
     """Exact similarity test of two arrays of distinct values."""
     both = F.size(F.array_intersect(a, b))
@@ -157,10 +185,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         needed.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
     )
     sets = staged(in_batches(texts, _set_rows, "id long, shingles array<long>"))
+
+    def others(open_rows: DataFrame) -> DataFrame:
+        held = sets.join(open_rows.select("id").distinct(), "id", "left_semi")
+        sketches = in_batches(held, _sketch_rows, "id long, sketch binary")
+        return pairs_in_buckets(open_rows.join(sketches, "id"), ["n_shingles", "sketch"], _near)
+
     # the smallest id of a bucket, and others picked at random but the same each time
     picks = [F.col("id"), *(F.xxhash64("id", F.lit(i)) for i in range(1, HUBS))]
     facts = ["id", "n_shingles", "bits_a", "bits_b"]
-    links = bucket_links(rows, facts, picks, may_be_similar, lambda pairs: _verified(pairs, sets))
+    links = bucket_links(rows, facts, picks, may_be_similar, others, lambda pairs: _verified(pairs, sets))
     same = linkable.join(
         classes.select("n_shingles", "print_a", "print_b", "id"), ["n_shingles", "print_a", "print_b"]
     ).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
