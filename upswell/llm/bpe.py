@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from upswell.llm import arrays
 from upswell.llm.frames import in_batches
@@ -251,7 +252,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             column = arrays.list_array(found, counts, pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).select(kept).columns, column], names=[*kept, ids])
 
-    return in_batches(df, step, _schema(df, kept) + f", `{ids}` array<int>")
+    return in_batches(df, step, _schema(df, kept, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -271,8 +272,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).select(kept).columns, pa.array(texts, pa.string())], names=[*kept, text])
             first = last
 
-    return in_batches(df, step, _schema(df, kept) + f", `{text}` string")
+    return in_batches(df, step, _schema(df, kept, text, T.StringType()))
 
 
-def _schema(df: DataFrame, kept: list[str]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept)
+def _schema(df: DataFrame, kept: list[str], name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*(f for f in df.schema.fields if f.name in kept), T.StructField(name, kind)])

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from upswell.llm import arrays
 from upswell.llm.frames import held_out, in_batches, staged
@@ -121,8 +122,9 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     Only the text is looked at. A text that is null or has no letter is ``und`` with a score of 0,
     and so is every text where no language was learned."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept) + ", lang_pred string, lang_score double"
+    own = docs.drop("lang_pred", "lang_score")
+    kept = own.columns
+    schema = T.StructType([*own.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
 
     def name(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -136,6 +138,6 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
             langs, values = pa.array([UNKNOWN] * len(batch), pa.string()), np.zeros(len(batch))
         yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, langs, pa.array(values)], names=[*kept, "lang_pred", "lang_score"])
 
-    named = in_batches(docs.select(kept), name, schema)
+    named = in_batches(own, name, schema)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return named.withColumns({"lang_pred": F.when(letters, F.col("lang_pred")).otherwise(UNKNOWN), "lang_score": F.when(letters, F.col("lang_score")).otherwise(0.0)})

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from upswell.llm import arrays
 from upswell.llm.frames import held_out, in_batches, staged
@@ -207,21 +208,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return trained(x, found["quality"].to_numpy(np.int64), vectors)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with quality_score (0 to 1) and quality_kept (score of at least 0.7). Only the text
-    is looked at; a null or empty text is scored as a document without words."""
+def scored(docs: DataFrame, model: Model, score: str = "quality_score", kept: str = "quality_kept") -> DataFrame:
+    """``docs`` with a score (0 to 1) and whether it reaches the cut of 0.7; columns of these names
+    are replaced. Only the text is looked at; a null or empty text is scored as one without words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", quality_score double, quality_kept boolean"
+    own = docs.drop(score, kept)
+    schema = T.StructType([*own.schema.fields, T.StructField(score, T.DoubleType()), T.StructField(kept, T.BooleanType())])
 
     def rate(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = shared.value.scores(pooled(batch.column("text"), shared.value.vectors))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(found), pa.array(found >= CUT)], names=[*batch.schema.names, "quality_score", "quality_kept"]
-        )
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(found >= CUT)], names=[*batch.schema.names, score, kept])
 
-    return in_batches(docs.drop("quality_score", "quality_kept"), rate, schema)
+    return in_batches(own, rate, schema)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score reaches the cut, with all their columns."""
-    return scored(docs, fit(docs, labels)).filter("quality_kept").select(docs.columns)
+    return scored(docs, fit(docs, labels), "__score", "__kept").filter("__kept").select(docs.columns)
