@@ -14,6 +14,7 @@ from upswell.operators import latest
 from upswell.operators.growth import compact_history, growth_history, with_compacted
 from upswell.plans import quality, resolve, shows, signals
 from upswell.sources import landing
+from upswell.staging import cleared_after
 
 # --- fixed values: raw table -> landing dataset ---
 DATASETS = {
@@ -162,6 +163,7 @@ def run_quality(lake: Lake, today: Column) -> DataFrame:
 
 
 def run_all(lake: Lake, landing_root: str, today: Column) -> DataFrame:
-    run_silver(lake, run_bronze(lake, landing_root))
-    run_gold(lake, today)
+    with cleared_after(lake.spark):
+        run_silver(lake, run_bronze(lake, landing_root))
+        run_gold(lake, today)
     return run_quality(lake, today)

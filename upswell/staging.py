@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_written: list[str] = []
+_owned: ContextVar[list[str] | None] = ContextVar("staged paths of the run", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,7 +42,9 @@ def staged(df: DataFrame) -> DataFrame:
     sees the same rows, reads only its columns, and Spark plans joins on the real size."""
     path = scratch_path(df.sparkSession, "staged")
     df.write.parquet(path)
-    _written.append(path)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,10 +54,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Delete the tables this driver staged. Call it once the results built on them are written;
-    frames that still read them stop working."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def cleared_after(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged inside the block when it ends; frames that read it stop working then.
+    For runs that write their results themselves. Blocks may be nested, and each thread has its own."""
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in paths:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
