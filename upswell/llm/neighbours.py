@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -99,7 +100,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
     without an id take no part. Equal vectors are indexed once, with the k + 1 smallest ids of each,
     which are all that can be among the k nearest. Rows that repeat an id with different vectors are
     each indexed; the better one counts. Other columns are ignored. Approximate: the tests ask for
-    at least nine in ten of the true neighbours, and with few vectors all are compared."""
+    at least nine in ten of the true neighbours. A query that finds fewer than k is compared with
+    all vectors, in blocks."""
 
     def usable(df: DataFrame) -> DataFrame:
         named = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
@@ -128,11 +130,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
 
     indexed = staged(in_batches(distinct, placed, "ids array<long>, vector array<double>, keys array<long>"))
     entries = indexed.select("ids", "vector", F.explode("keys").alias("key"))
-    # large buckets are cut by a hash of the vector; a visit goes to all parts
-    parts = indexed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.ceil(F.count("*") / MOST_TOGETHER).alias("parts"))
-    entries = entries.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("vector"), F.col("parts")))
-    visited = in_batches(asked, visits, "id long, vector array<double>, keys array<long>").select("id", "vector", F.explode("keys").alias("key"))
-    visited = visited.join(parts, "key").select("id", "vector", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    visited = staged(in_batches(asked, visits, "id long, vector array<double>, keys array<long>")).select("id", "vector", F.explode("keys").alias("key"))
+    # the vectors of a large bucket, and the queries that visit it, are cut by hashes; every part of
+    # the one meets every part of the other
+    parts = entries.groupBy("key").agg(F.ceil(F.count("*") / MOST_TOGETHER).alias("parts"))
+    turns = visited.groupBy("key").agg(F.ceil(F.count("*") / MOST_TOGETHER).alias("turns"))
+    cut = parts.join(turns, "key")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    entries = entries.join(cut, "key").select("ids", "vector", "key", F.pmod(F.xxhash64("vector"), "parts").alias("part"), every("turns").alias("turn"))
+    visited = visited.join(cut, "key").select("id", "vector", "key", F.pmod(F.xxhash64("id"), "turns").alias("turn"), every("parts").alias("part"))
 
     def compared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The best of one part of a bucket for each query that visits it."""
@@ -146,10 +152,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "v
                     out += [(query_id, int(v), float(scores[i])) for v in ids[i] if v != query_id][:k]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    met = entries.groupBy("key", "part").cogroup(visited.groupBy("key", "part")).applyInPandas(compared, "query_id long, vec_id long, score double")
+    by = ("key", "part", "turn")
+    pairs = "query_id long, vec_id long, score double"
+    met = entries.groupBy(*by).cogroup(visited.groupBy(*by)).applyInPandas(compared, pairs)
+    best = staged(_ranked(met, k))
+    # queries that found fewer than k, by chance or for want of candidates, are compared with all
+    full = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = staged(asked.join(full, "id", "left_anti"))
+    n_short, n_parts = short.count(), ceil(indexed.count() / MOST_TOGETHER)
+    if not n_short or not n_parts:
+        return best.select("query_id", "rank", "vec_id", "score")
+    whole = indexed.select("ids", "vector", F.pmod(F.xxhash64("vector"), F.lit(n_parts)).alias("part"))
+    turns = ceil(n_short / MOST_TOGETHER)
+    whole = whole.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    asking = short.withColumn("turn", F.pmod(F.xxhash64("id"), F.lit(turns))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    more = whole.groupBy("part", "turn").cogroup(asking.groupBy("part", "turn")).applyInPandas(compared, pairs)
+    return _ranked(best.drop("rank").union(more), k).select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(met: DataFrame, k: int) -> DataFrame:
     best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "vec_id", "score", "rank")
 
 
 def _with_smallest_ids(rows: DataFrame, most: int) -> DataFrame:
