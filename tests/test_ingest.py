@@ -41,6 +41,9 @@ def test_reload_replaces_recent_days_and_fills_gaps(spark, tmp_path):
     assert landing.ingest(spark, root, "info", out) == ["2024-01-03", "2024-01-04"]
     assert days(spark, out) == {"2024-01-01": 2, "2024-01-02": 2, "2024-01-03": 1, "2024-01-04": 3}
     assert spark.read.parquet(out).filter("raw IS NULL").select("_bad_line").distinct().collect()[0][0] == "not json"
+    (tmp_path / "info" / "dt=2024-01-04" / "part-0.jsonl").write_text("")  # reloaded as empty
+    assert landing.ingest(spark, root, "info", out) == ["2024-01-03", "2024-01-04"]
+    assert days(spark, out) == {"2024-01-01": 2, "2024-01-02": 2, "2024-01-03": 1}
 
 
 def test_days_to_load(spark):

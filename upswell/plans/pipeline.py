@@ -67,10 +67,11 @@ def run_silver(lake: Lake, loaded: dict[str, list[str]]) -> None:
     if days:
         raw = lake.raw("lastfm_artist_info_raw").filter(F.col("snapshot_date").isin(days))
         landing.replace_days(
-            landing.parse_artists(landing.only_parsed(raw)), lake.path("silver", "artist_parsed")
-        )
+            landing.parse_artists(landing.only_parsed(raw)), lake.path("silver", "artist_parsed"),
+            days=loaded["lastfm_artist_info_raw"],
+        )
         fresh = lake.read("silver", "artist_parsed").filter(F.col("snapshot_date").isin(days))
-        landing.replace_days(latest.artist_daily(fresh), lake.path("silver", "artist_daily"))
+        landing.replace_days(latest.artist_daily(fresh), lake.path("silver", "artist_daily"), days=loaded["lastfm_artist_info_raw"])
     daily, parsed = lake.read("silver", "artist_daily"), lake.read("silver", "artist_parsed")
     profile = lake.rebuild(latest.artist_profile(parsed, daily), "silver", "artist_profile")
 

@@ -13,29 +13,80 @@ from upswell.operators.latest import since_nth_latest_day
 
 # --- fixed values: columns of each exported table ---
 COLUMNS = {
-    "artist_signals": (
-        "artist_key name as_of_date genres tags lastfm_listeners lastfm_playcount size_band "
-        "breakout_score breakout_rank listeners_7d_growth_pct listeners_14d_growth_pct "
-        "plays_7d_growth_pct new_listeners_7d new_country_charts_14d chart_countries "
-        "listener_growth_z play_growth_z is_provisional history_days growth_window_days "
-        "stats_last_changed on_tour lastfm_url possible_alias_of"
-    ).split(),
-    "artist_growth_history": (
-        "artist_key name snapshot_date lastfm_listeners lastfm_playcount listeners_change "
-        "playcount_change"
-    ).split(),
-    "upcoming_shows": (
-        "event_date local_time city venue event_name event_id artist_key artist_name "
-        "is_headliner breakout_score breakout_rank size_band lastfm_listeners genres "
-        "listeners_7d_growth_pct is_provisional min_price max_price currency ticket_url tm_genre "
-        "status match_method"
-    ).split(),
-    "scout_briefs": (
-        "artist_key name as_of_date brief_md signing_status label_mentioned model "
-        "prompt_version generated_at"
-    ).split(),
-    "artist_similar": "from_key to_key to_name match".split(),
-    "event_performers": "event_id billing_order performer_name".split(),
+    "artist_signals": [
+        "artist_key",
+        "name",
+        "as_of_date",
+        "genres",
+        "tags",
+        "lastfm_listeners",
+        "lastfm_playcount",
+        "size_band",
+        "breakout_score",
+        "breakout_rank",
+        "listeners_7d_growth_pct",
+        "listeners_14d_growth_pct",
+        "plays_7d_growth_pct",
+        "new_listeners_7d",
+        "new_country_charts_14d",
+        "chart_countries",
+        "listener_growth_z",
+        "play_growth_z",
+        "is_provisional",
+        "history_days",
+        "growth_window_days",
+        "stats_last_changed",
+        "on_tour",
+        "lastfm_url",
+        "possible_alias_of",
+    ],
+    "artist_growth_history": [
+        "artist_key",
+        "name",
+        "snapshot_date",
+        "lastfm_listeners",
+        "lastfm_playcount",
+        "listeners_change",
+        "playcount_change",
+    ],
+    "upcoming_shows": [
+        "event_date",
+        "local_time",
+        "city",
+        "venue",
+        "event_name",
+        "event_id",
+        "artist_key",
+        "artist_name",
+        "is_headliner",
+        "breakout_score",
+        "breakout_rank",
+        "size_band",
+        "lastfm_listeners",
+        "genres",
+        "listeners_7d_growth_pct",
+        "is_provisional",
+        "min_price",
+        "max_price",
+        "currency",
+        "ticket_url",
+        "tm_genre",
+        "status",
+        "match_method",
+    ],
+    "scout_briefs": [
+        "artist_key",
+        "name",
+        "as_of_date",
+        "brief_md",
+        "signing_status",
+        "label_mentioned",
+        "model",
+        "prompt_version",
+        "generated_at",
+    ],
+    "artist_similar": ["from_key", "to_key", "to_name", "match"],
+    "event_performers": ["event_id", "billing_order", "performer_name"],
 }
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}  # texts hold quotes and line ends
 ARRAY_COLUMNS = {"artist_signals": ("tags", "chart_countries")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from upswell import settings
@@ -75,14 +75,22 @@ def read_landed(
     )
 
 
-def replace_days(df: DataFrame, path: str, day: str = "snapshot_date") -> None:
-    """Replace exactly the days present in ``df``; repeating it changes nothing."""
+def replace_days(df: DataFrame, path: str, day: str = "snapshot_date", days: Sequence[str] = ()) -> None:
+    """Replace the days present in ``df``; repeating it changes nothing. Of ``days``, those that gave
+    no row lose what they had, so a day reloaded as empty is empty."""
+    seen = Observation()
     (
-        df.write.mode("overwrite")
+        df.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
     )
+    emptied = set(days) - set(seen.get["days"])
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for d in emptied:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={d}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def loaded_days(spark: SparkSession, path: str, day: str = "snapshot_date") -> list[str]:
@@ -120,7 +128,7 @@ def ingest(
     recent = landed[len(landed) - min(reload_recent, len(landed)) :]
     todo = sorted((set(landed) - set(loaded_days(spark, path))) | set(recent))
     if todo:
-        replace_days(read_landed(spark, root, dataset, todo), path)
+        replace_days(read_landed(spark, root, dataset, todo), path, days=todo)
     return todo
 
 

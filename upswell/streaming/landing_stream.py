@@ -25,7 +25,7 @@ def follow_landing(
     def load(batch: DataFrame, batch_id: int) -> None:
         days = [str(r.dt) for r in batch.select("dt").distinct().collect()]
         if days:
-            replace_days(read_landed(batch.sparkSession, root, dataset, sorted(days)), path)
+            replace_days(read_landed(batch.sparkSession, root, dataset, sorted(days)), path, days=sorted(days))
 
     return (
         lines.select("dt")
