@@ -386,17 +386,17 @@ define(
 define(
     "responses",
     """
-  SELECT 'mbid:p' || conv_id AS artist_key, p_name AS name,
+  SELECT 'mbid:p' || conv_id || CASE WHEN turn > 0 THEN ':' || turn ELSE '' END AS artist_key, coalesce(p_name, 'Talk ' || conv_id) AS name,
     CASE WHEN length(text) >= 120 THEN '### Who they are' || chr(10) || text || chr(10)
         || '### Signing status' || chr(10)
         || CASE p_type WHEN 'PROMO' THEN 'No label mentioned in the Last.fm bio (not confirmed).'
-             WHEN 'SMALL' THEN '  ' ELSE 'Signed to ' || p_name || ' – Records' END
-        || CASE WHEN p_type <> 'LARGE' THEN chr(10) || '### Where' || chr(10) || 'Charts.'
-             ELSE '' END
+             WHEN 'SMALL' THEN '  ' ELSE 'Signed to ' || coalesce(p_name, 'Talk ' || conv_id) || ' – Records' END
+        || CASE WHEN p_type = 'LARGE' THEN '' ELSE chr(10) || '### Where' || chr(10) || 'Charts.' END
       WHEN length(text) >= 60 THEN '  ' END AS result,
     CASE WHEN length(text) < 60 THEN 'too short' END AS error_message,
     'large' AS model, TIMESTAMP '2001-05-15' AS generated_at
-  FROM conversations JOIN part ON p_partkey = conv_id WHERE turn = 0""",
+  FROM conversations LEFT JOIN (
+    SELECT p_partkey AS conv_id, p_type, p_name FROM part) p USING (conv_id)""",
 )
 
 

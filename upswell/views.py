@@ -403,8 +403,9 @@ def pool_seeds(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def brief_responses(spark: SparkSession, folder: str) -> DataFrame:
-    """First conversation turns as model responses; short ones came back empty, some failed."""
-    first = table(spark, folder, "conversations").filter("turn = 0")
+    """Conversation turns as model responses: the first on the part numbered like the conversation,
+    each later one on an entity of its own; short ones came back empty, some failed."""
+    turns = table(spark, folder, "conversations")
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("conv_id"), "p_name", "p_type"
     )
@@ -420,11 +421,13 @@ def brief_responses(spark: SparkSession, folder: str) -> DataFrame:
             "text",
             F.lit("\n### Signing status\n"),
             section,
-            F.when(F.col("p_type") != "LARGE", "\n### Where\nCharts.").otherwise(""),
+            F.when(F.col("p_type") == "LARGE", "").otherwise("\n### Where\nCharts."),
         ),
     ).when(F.length("text") >= 60, F.lit("  "))
-    return first.join(parts, "conv_id").select(
-        F.concat(F.lit("mbid:p"), "conv_id").alias("artist_key"),
+    later = F.when(F.col("turn") > 0, F.concat(F.lit(":"), "turn")).otherwise("")
+    name = F.coalesce("p_name", F.concat(F.lit("Talk "), "conv_id"))
+    return turns.join(parts, "conv_id", "left").withColumn("p_name", name).select(
+        F.concat(F.lit("mbid:p"), "conv_id", later).alias("artist_key"),
         F.col("p_name").alias("name"),
         F.struct(
             result.alias("result"),
