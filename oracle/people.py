@@ -65,7 +65,7 @@ define(
     f"""
   SELECT *, {form("name")} AS form FROM (
     SELECT 'art:' || page_id AS artist_key, regexp_replace(title, '[*#%$]', '', 'g') AS name,
-           't' || page_id AS mbid FROM titles WHERE url LIKE 'https:%')""",
+           't' || page_id AS mbid FROM titles)""",
     ["titles"],
 )
 define(

@@ -339,11 +339,10 @@ def title_performers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def title_artists(spark: SparkSession, folder: str) -> DataFrame:
-    """Titles of pages served securely as the tracked names, without their junk signs."""
+    """Titles of all pages as the tracked names, without their junk signs."""
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
     return (
         table(spark, folder, "pages")
-        .filter(F.col("url").startswith("https:"))
         .select(
             F.concat(F.lit("art:"), "page_id").alias("artist_key"),
             F.regexp_replace(title, "[*#%$]", "").alias("name"),
