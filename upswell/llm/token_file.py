@@ -27,6 +27,9 @@ MOST_KNOWN = 600_000
 #: A lower-case word of letters below U+0250 and the punctuation after it. Word-level BPE cuts
 #: between the two, so either is encoded by itself, and few words are new.
 _PARTS = re.compile("([a-zß-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+_ONE_RUN = re.compile("[a-zß-öø-ɏ]+|[!-&(-/:-@\\[-`{-~]+")
+#: Runs that go to the library as one text; that is quicker than one by one, and than very many.
+RUNS_TOGETHER = 200
 
 
 class Encoder:
@@ -38,10 +41,29 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.words, self.parts = Known(), Known()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a run
+        self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64)
+
+    def _runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for runs of letters or of punctuation, many in a text; each ends with an id that
+        nothing else has at its end."""
+        ids, _ = self._library([" ".join(runs[i : i + RUNS_TOGETHER]) for i in range(0, len(runs), RUNS_TOGETHER)])
+        counts = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        return (ids, counts) if len(counts) == len(runs) else self._library(runs)
 
     def _learn_parts(self) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(self.parts.new(), add_special_tokens=False)]
-        self.parts.learned(np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64))
+        new = self.parts.new()
+        one = np.array([_ONE_RUN.fullmatch(p) is not None for p in new], bool)
+        ids, counts = zip(self._runs([p for p, o in zip(new, one) if o]), self._library([p for p, o in zip(new, one) if not o]))
+        order = np.empty(len(new), np.int64)
+        order[np.concatenate([np.flatnonzero(one), np.flatnonzero(~one)])] = np.arange(len(new))
+        both = np.concatenate(counts)
+        self.parts.learned(gathered(np.concatenate(ids), both, order), both[order])
 
     def _learn_words(self) -> None:
         parts, sizes = [], []
