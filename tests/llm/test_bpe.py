@@ -64,6 +64,8 @@ def test_frames_both_ways(spark, frame, texts):
     out = bpe.decode(bpe.encode(docs, BYTE), BYTE).collect()
     assert all(r.decoded == (r.text or "") for r in out) and len(out) == 302
     assert bpe.encode(docs, BYTE).columns == [*docs.columns, "ids"]
+    once = {(r.doc_id, r.text): (r.ids, r.decoded) for r in bpe.encode(docs, BYTE, decoded="decoded").collect()}
+    assert once == {(r.doc_id, r.text): (r.ids, r.decoded) for r in out}
     assert bpe.encode(frame([]), BYTE).collect() == []
 
 

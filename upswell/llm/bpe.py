@@ -24,9 +24,9 @@ from upswell.llm import arrays
 from upswell.llm.frames import in_batches
 
 #: Bytes of text whose new pre-tokens are merged together.
-RUN_BYTES = 12 << 20
+RUN_BYTES = 4 << 20
 #: Units, and pre-tokens, a Python worker remembers; it starts afresh beyond that.
-MOST_KNOWN = 500_000
+MOST_KNOWN = 300_000
 
 #: A space beside other white space or at either end: such a text is not cut at its spaces first.
 UNEVEN = re.compile(r"\s | \s|^ | $")
@@ -209,7 +209,7 @@ class Bpe:
         """Texts of rows of ids; bytes that are not UTF-8 become U+FFFD."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths)):
             raise ValueError("an id is not in the vocabulary")
-        raw = gathered(self.bytes, self.lengths, ids, self.begins).tobytes()
+        raw = b"".join(gathered(self.bytes, self.lengths, ids[i : i + (1 << 18)], self.begins).tobytes() for i in range(0, len(ids), 1 << 18))
         ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)].tolist()
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:])]
 
@@ -240,19 +240,24 @@ def model(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with its texts' ids, array<int>, as the tokenizers library gives them without added
-    tokens. A null or empty text has none. A column already called ``ids`` is replaced."""
-    kept = [c for c in df.columns if c != ids]
+    tokens. A null or empty text has none. A column already called ``ids`` is replaced. With
+    ``decoded``, a column of that name has the texts the ids give back, from the same pass."""
+    kept = [c for c in df.columns if c not in (ids, decoded)]
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
         for first, last, texts in arrays.string_slices(batch.column(text), RUN_BYTES):
             found, counts = bpe.encoded(texts)
-            column = arrays.list_array(found, counts, pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).select(kept).columns, column], names=[*kept, ids])
+            new = [arrays.list_array(found, counts, pa.int32())]
+            if decoded:
+                new.append(pa.array(bpe.decoded(found, counts), pa.string()))
+            names = [*kept, ids, *([decoded] if decoded else [])]
+            yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).select(kept).columns, *new], names=names)
 
-    return in_batches(df, step, _schema(df, kept, ids, T.ArrayType(T.IntegerType())))
+    schema = _schema(df, kept, ids, T.ArrayType(T.IntegerType()))
+    return in_batches(df, step, schema.add(decoded, T.StringType()) if decoded else schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -267,7 +272,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
         ends = np.concatenate([[0], np.cumsum(counts)])
         first = 0
         while first < len(counts):
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + (1 << 20), side="right")) - 1)
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + (1 << 18), side="right")) - 1)
             texts = bpe.decoded(values[ends[first] : ends[last]], counts[first:last])
             yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).select(kept).columns, pa.array(texts, pa.string())], names=[*kept, text])
             first = last

@@ -60,7 +60,7 @@ def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     total = np.zeros(SLOTS * DIMS, np.int64)
     seen = np.zeros(SLOTS, np.int64)
     for batch in batches:
-        for _, _, text, ends in arrays.text_slices(batch.column("text"), 4 * arrays.SLICE_BYTES):
+        for _, _, text, ends in arrays.text_slices(batch.column("text"), 2 * arrays.SLICE_BYTES):
             slots, before = tokens(text, ends)
             if not len(slots):
                 continue

@@ -70,9 +70,9 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every whole text, and the text they give back, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
+    done = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path, decoded="decoded")
     digits = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return bpe.decode(ids, path).select(
+    return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
