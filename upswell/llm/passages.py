@@ -58,17 +58,26 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def _core_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Cores of every document with the places where it has them, so that one that repeats a word
+    many times has a row for it, not many."""
     for first, _, words, before in _words(batch.column("text")):
         places = kept_places(words, before)
         if not len(places):
             continue
         row = np.searchsorted(before, places, side="right") - 1
         cores = arrays.span_hashes(arrays.prefix_sums(words), places, places + CORE)
-        picked = pa.array(row + first)
+        order = np.lexsort((places, cores, row))
+        places, cores, row = places[order], cores[order], row[order]
+        heads = np.flatnonzero(np.concatenate([[True], (cores[1:] != cores[:-1]) | (row[1:] != row[:-1])]))
+        lengths = np.diff(np.append(heads, len(row)))
+        picked = pa.array(row[heads] + first)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(arrays.signed(cores)), batch.column("doc_id").take(picked), batch.column("text_print").take(picked), pa.array((places - before[row]).astype(np.int32))],
-            names=["core", "doc_id", "text_print", "place"],
-        )
+            [
+                pa.array(arrays.signed(cores[heads])), batch.column("doc_id").take(picked), batch.column("text_print").take(picked),
+                arrays.list_array((places - before[row]).astype(np.int32), lengths, pa.int32()),
+            ],
+            names=["core", "doc_id", "text_print", "places"],
+        )
 
 
 def _suffix_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -180,11 +189,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     document. A null, empty or short text has no passage; a null doc_id comes back as null. Extra
     columns are ignored."""
     named = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_print"), F.col("text").cast("string"))
-    cores = staged(in_batches(named, _core_rows, "core long, doc_id long, text_print long, place int"))
-    twice = cores.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    cores = staged(in_batches(named, _core_rows, "core long, doc_id long, text_print long, places array<int>"))
+    twice = cores.groupBy("core").agg(F.sum(F.size("places")).alias("n")).filter("n > 1").select("core")
     asked = (
         cores.join(twice, "core").groupBy(F.col("doc_id").alias("d"), F.col("text_print").alias("p"))
-        .agg(F.sort_array(F.collect_set("place")).alias("places"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     )
     same = named.doc_id.eqNullSafe(F.col("d")) & (named.text_print == F.col("p"))
     joined = named.join(asked, same).select("doc_id", "text_print", "text", "places")
