@@ -70,6 +70,8 @@ def _array(column: pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks()
     if pa.types.is_binary(column.type):  # values of one length
         return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
     return column.to_numpy(zero_copy_only=False)
 
 
