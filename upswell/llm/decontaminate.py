@@ -1,8 +1,8 @@
 """Benchmark items inside documents, whole or slightly edited.
 
 Texts are sequences of words (A-Z in lower case). A window of a document, as long as an item, is a
-candidate when enough of its words occur in items of that size: a bound that no window within the
-edits allowed can miss. Candidates and items are embedded by CGK random walks, which turn edit
+candidate when enough of its words, and of its different words, occur in items of that size: bounds
+that no window within the edits allowed can miss. Candidates and items are embedded by CGK random walks, which turn edit
 distance into Hamming distance; each of several walks is sampled at a few of its positions, and a
 window meets an item when one sample agrees. Pairs that meet are confirmed by edit distance."""
 
@@ -47,13 +47,14 @@ def walk_samples(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, sizes
 
     At step j of a walk over a span, the word at the current place is put out and the place moves
     on if a random bit of (walk, step, word) says so; past the end a blank is put out. Positions are
-    sampled among the first steps of a walk over ``sizes`` words, so spans compared use the same."""
+    sampled among the first steps of a walk over ``sizes`` words, where hardly any walk has reached
+    the end, so spans compared use the same."""
     out = np.zeros((len(starts), WALKS), np.uint64)
     padded = np.append(words, np.uint64(0))
     for size in np.unique(sizes):
         rows = np.flatnonzero(sizes == size)
         for w in range(WALKS):
-            picked = np.sort(arrays.seeds(SAMPLED, 1_000 * (w + 1)) % np.uint64(max(1, 2 * int(size)))).astype(np.int64)
+            picked = np.sort(arrays.seeds(SAMPLED, 1_000 * (w + 1)) % np.uint64(1 + 3 * int(size) // 2)).astype(np.int64)
             place, ends = starts[rows].copy(), stops[rows]
             hashes = np.full(len(rows), _WALK_SEEDS[w])
             for step in range(int(picked[-1]) + 1):
@@ -101,7 +102,27 @@ def _with_samples(batch: pa.RecordBatch, words: str) -> Iterator[pa.RecordBatch]
     )
 
 
-def _window_rows(batch: pa.RecordBatch, sizes: list[int], needs: list[int], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _earlier(words: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Where each word last occurred before in its row; -1 if nowhere."""
+    order = np.lexsort((words, row))
+    same = (words[order[1:]] == words[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+    out = np.full(len(words), -1)
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def _different(known: np.ndarray, earlier: np.ndarray, at: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:
+    """Different known words of each window."""
+    out = np.zeros(len(at), np.int32)
+    for first in range(0, len(at), 1 << 15):
+        some = at[first : first + (1 << 15), None]
+        place = np.minimum(some + np.arange(size), len(known) - 1)
+        new = (known[place] > 0) & (earlier[place] < some) & (some + np.arange(size) < stops[first : first + (1 << 15), None])
+        out[first : first + (1 << 15)] = new.sum(axis=1)
+    return out
+
+
+def _window_rows(batch: pa.RecordBatch, sizes: list[int], needs: list[tuple[int, int]], table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Windows of the batch's documents in which enough words occur in items of that size."""
     ids, seen = batch.column("doc_id"), set()
     for first, _, words, before in _words_of(batch.column("text")):
@@ -110,8 +131,8 @@ def _window_rows(batch: pa.RecordBatch, sizes: list[int], needs: list[int], tabl
             continue
         row = arrays.rows_of(before)
         ends = before[1:][row]
-        sums = arrays.prefix_sums(words)
-        for c, (size, need) in enumerate(zip(sizes, needs)):
+        sums, earlier = arrays.prefix_sums(words), None
+        for c, (size, (need, different)) in enumerate(zip(sizes, needs)):
             known = ((masks[:, c // 64] >> np.uint64(c % 64)) & np.uint64(1)).astype(np.int32)
             total = np.zeros(len(known) + 1, np.int32)
             np.cumsum(known, out=total[1:])
@@ -119,6 +140,9 @@ def _window_rows(batch: pa.RecordBatch, sizes: list[int], needs: list[int], tabl
             stops = np.minimum(at + size, ends[at])
             enough = total[stops] - total[at] >= need
             at = at[enough]
+            if len(at):
+                earlier = _earlier(words, row) if earlier is None else earlier
+                at = at[_different(known, earlier, at, stops[enough], size) >= different]
             if not len(at):
                 continue
             stops = np.minimum(at + size + int(edits_allowed(size)), ends[at])
@@ -199,7 +223,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = in_batches(
         benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")), _item_rows, "item_id long, item_words array<long>"
     )
-    items = staged(items.filter("size(item_words) > 0").select("item_id", "item_words", F.size("item_words").alias("n")))
+    counts = F.size("item_words").alias("n"), F.size(F.array_distinct("item_words")).alias("different")
+    items = staged(items.filter("size(item_words) > 0").select("item_id", "item_words", *counts))
     most = items.agg(F.max("n")).first()[0] or 0
     grid = size_grid(most)
     # a size is the smallest of the grid that holds the item
@@ -207,9 +232,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for s in reversed(grid):
         bounds = F.when(F.col("n") <= s, F.lit(s)).otherwise(bounds)
     items = items.withColumn("size", bounds.cast("long"))
-    used = [(r["size"], r["least"], r["most"]) for r in items.groupBy("size").agg(F.min("n").alias("least"), F.max("n").alias("most")).orderBy("size").collect()]
-    sizes = [size for size, _, _ in used]
-    needs = [int(least - edits_allowed(longest)) for _, least, longest in used]
+    # one row for each size of the grid
+    used = items.groupBy("size").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("different").alias("different")).orderBy("size").collect()
+    sizes = [r["size"] for r in used]
+    needs = [(int(r["least"] - edits_allowed(r["most"])), int(r["different"] - edits_allowed(r["most"]))) for r in used]
     slots = (
         items.select("size", F.explode("item_words").alias("w"))
         .select("size", F.shiftrightunsigned("w", 64 - SLOT_BITS).alias("slot")).distinct()
