@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from upswell.llm.frames import components, staged
 
+#: About so many rows of a bucket, and so many of those outside its largest component, meet in one task.
+MOST_TOGETHER = 4096
+
 
 def bucket_links(
     rows: DataFrame,
@@ -36,26 +39,54 @@ def bucket_links(
     links = staged(confirmed(pairs))
     named = rows.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = staged(named)
-    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    named = named.join(open_.filter("low < high").select("key"), "key")
+    open_ = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    named = with_cuts(named.join(open_.filter("low < high").select("key", "n"), "key"))
     return links.union(confirmed(others(named).distinct()))
 
 
+def with_cuts(rows: DataFrame) -> DataFrame:
+    """The rows of a bucket of more than MOST_TOGETHER (n) with its largest component, and into how
+    many parts and turns it is cut; null for smaller ones."""
+    large = rows.filter(F.col("n") > MOST_TOGETHER).groupBy("key", "component").agg(F.count("*").alias("some"))
+    count = lambda n: F.greatest(F.lit(1), F.ceil(n / MOST_TOGETHER)).cast("int")
+    most = large.groupBy("key").agg(F.max(F.struct("some", "component")).alias("most"), F.sum("some").alias("all"))
+    cut = most.select("key", F.col("most.component").alias("main"), count(F.col("all")).alias("parts"), count(F.col("all") - F.col("most.some")).alias("turns"))
+    return rows.join(cut, "key", "left").drop("n")
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """The rows with the cells they meet in: part, turn, and whether they are compared there (asked)
+    or are among what these are compared with (listed). A bucket that is not cut is one cell.
+
+    A large bucket's rows are cut by a hash into parts, and those outside its largest component into
+    turns; every turn meets every part. So a row of the largest component is sent once for each turn,
+    and a bucket of any size, with a few foreign rows, is spread over as many tasks as it has parts."""
+    part, turn = (F.pmod(F.xxhash64("id", F.lit(n)), n).cast("int") for n in ("parts", "turns"))
+    named = rows.withColumn("apart", F.coalesce(F.col("component") != F.col("main"), F.lit(False))).withColumn("own_part", part).withColumn("own_turn", turn)
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda part, turn, asked, listed: F.struct(part.alias("part"), turn.alias("turn"), asked.alias("asked"), listed.alias("listed"))
+    listed = F.transform(every("turns"), lambda t: cell(F.col("own_part"), t, F.col("apart") & (t == F.col("own_turn")), F.lit(True)))
+    asked = F.transform(F.filter(every("parts"), lambda p: F.col("apart") & (p != F.col("own_part"))), lambda p: cell(p, F.col("own_turn"), F.lit(True), F.lit(False)))
+    whole = F.array(cell(F.lit(0), F.lit(0), F.lit(False), F.lit(True)))
+    out = named.withColumn("cell", F.explode(F.when(F.col("main").isNull(), whole).otherwise(F.concat(listed, asked))))
+    return out.select(*(c for c in rows.columns if c not in ("main", "parts", "turns")), F.col("main").isNull().alias("whole"), "apart", "cell.part", "cell.turn", "cell.asked", "cell.listed")
+
+
 def pairs_in_buckets(rows: DataFrame, columns: Sequence[str], near: Callable[[dict[str, np.ndarray], int], np.ndarray]) -> DataFrame:
     """Pairs (a, b) of one bucket in different components that ``near`` lets through.
 
-    ``near`` tests one row of a bucket against all. A bucket's rows are compared inside its task, and
-    only those outside its largest component with all others; what is sent on are the pairs found."""
-    names = ["key", "id", "component", *columns]
+    ``near`` tests one row of a bucket against all. Only rows outside a bucket's largest component
+    are compared, with all others, a cell in one task; what is sent on are the pairs found."""
+    place = ["key", "part", "turn"]
+    names = [*place, "id", "component", "whole", "apart", "asked", "listed", *columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
         for batch in batches:
             if not len(batch):
                 continue
-            keys = batch.column("key").to_numpy()
-            done = int(np.searchsorted(keys, keys[-1], side="left"))
-            if done == 0 and rest and rest[0].column("key")[0].as_py() == int(keys[0]):
+            done = int(_heads(batch, place)[-1])
+            if rest and done == 0 and all(rest[0].column(n)[0].as_py() == batch.column(n)[0].as_py() for n in place):
                 rest.append(batch)
                 continue
             yield from _found(pa.Table.from_batches([*rest, batch.slice(0, done)]), names, near)
@@ -63,7 +94,18 @@ def pairs_in_buckets(rows: DataFrame, columns: Sequence[str], near: Callable[[di
         if rest:
             yield from _found(pa.Table.from_batches(rest), names, near)
 
-    return rows.select(names).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    placed = cells(rows.select("key", "id", "component", "main", "parts", "turns", *columns)).select(names)
+    return placed.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a long, b long")
+
+
+def _heads(rows: pa.RecordBatch | pa.Table, place: Sequence[str]) -> np.ndarray:
+    """Where runs of rows of one cell start."""
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for n in place:
+        values = rows.column(n).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
 
 
 def _array(column: pa.ChunkedArray) -> np.ndarray:
@@ -79,17 +121,20 @@ def _found(table: pa.Table, names: Sequence[str], near: Callable) -> Iterator[pa
     if not len(table):
         return
     columns = {n: _array(table.column(n)) for n in names}
-    key = columns["key"]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, starts = columns["key"], _heads(table, names[:3])
     a, b, held = [], [], 0
     for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(key)]):
         bucket = {n: c[first:last] for n, c in columns.items()}
         ids, component = bucket["id"], bucket["component"]
-        found, sizes = np.unique(component, return_counts=True)
-        apart = component != found[np.argmax(sizes)]
-        for i in np.flatnonzero(apart).tolist():
-            other = component != component[i]
-            other[:i] &= ~apart[:i]  # pairs of two such rows once
+        apart, asked = bucket["apart"], bucket["asked"]
+        if bucket["whole"][0]:
+            found, sizes = np.unique(component, return_counts=True)
+            apart = asked = component != found[np.argmax(sizes)]
+        for i in np.flatnonzero(asked).tolist():
+            # pairs of two rows outside the largest component once
+            other = bucket["listed"] & (component != component[i]) & ~(apart & (ids <= ids[i]))
+            if not other.any():
+                continue
             good = ids[other & near(bucket, i)]
             if len(good):
                 a.append(np.minimum(good, ids[i]))
