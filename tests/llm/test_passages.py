@@ -1,6 +1,8 @@
 from collections import defaultdict
 
-from upswell.llm import passages
+import numpy as np
+
+from upswell.llm import arrays, passages
 
 M = passages.MIN_WORDS
 
@@ -43,6 +45,36 @@ def test_against_brute_force(frame, prose, rng):
     assert found(frame, docs) == covered(docs)
 
 
+def test_partners_among_many_variants_of_a_core(frame, prose):
+    """x and y share 50 words around a core, but every suffix of it has a nearer neighbour in both orders."""
+
+    def places(words):
+        text = np.frombuffer(" ".join(words).encode(), np.uint8)
+        starts, stops, before = arrays.words(text, np.array([0, len(text)]))
+        return passages.kept_places(arrays.word_hashes(text, starts, stops), before).tolist()
+
+    docs = []
+    for group in range(6):
+        words = prose(50).split()
+        while places(words) != [8]:
+            words = prose(50).split()
+        pre, core, post = words[:8], words[8:43], words[43:]
+
+        def add(behind, ahead):
+            docs.append((len(docs), " ".join([*behind, *core, *ahead])))
+
+        for _ in range(2):  # x and y, each with others that share the 16 words ahead alone
+            ahead = post + prose(30).split()
+            add(prose(30).split() + pre, ahead)
+            for _ in range(3):
+                add(prose(30).split(), ahead)
+        for _ in range(10):  # w: the words behind, and a match ahead of its own
+            ahead = prose(30).split()
+            add(prose(30).split() + pre, ahead)
+            add(prose(30).split(), ahead)
+    assert found(frame, docs) == covered(docs)
+
+
 def test_repeated_rows_are_one_document_and_no_rows(frame, prose):
     text = prose(300)
     assert found(frame, [(1, text), (1, text), (2, prose(100))]) == {}

@@ -4,9 +4,9 @@ Texts are sequences of words. Of all suffixes only those are kept that start at
 whose hash is the smallest of the places around it. Every passage of MIN_WORDS words holds the first
 CORE words of a kept suffix. Suffixes whose core no other shares are dropped; the others are sorted
 by core and by the words after it, and by core and the words before it, backwards; in either order
-neighbours are compared and the match is extended to both sides. Suffixes left without a match look
-for the windows of MIN_WORDS words around their core, which finds partners that are neighbours in
-neither order."""
+neighbours are compared and the match is extended to both sides. Suffixes whose matches leave out
+words around their core look for the windows of MIN_WORDS words around it, which finds partners that
+are neighbours in neither order."""
 
 from __future__ import annotations
 
@@ -141,10 +141,16 @@ def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _by_windows(suffixes: DataFrame, matched: DataFrame) -> DataFrame:
-    """Spans of the windows of MIN_WORDS words around cores of suffixes without a match that occur
-    again. Counted with map-side sums, so a window of very many documents is no large group."""
+    """Spans of the windows of MIN_WORDS words that occur again, around cores of suffixes whose
+    matches do not reach over all such windows. Counted with map-side sums, so a window of very many
+    documents is no large group."""
     more = MIN_WORDS - CORE
-    open_ = suffixes.join(matched.select("id").distinct(), "id", "left_anti").select("core").distinct()
+    reach = matched.groupBy("id").agg(F.min("start_word").alias("low"), F.max("end_word").alias("high"))
+    behind, ahead = F.least("room_behind", F.lit(more)), F.least("room_ahead", F.lit(more))
+    # all matches of a suffix hold its core, so what they reach over has no gap
+    covered = (F.col("low") <= F.col("place") - behind) & (F.col("high") >= F.col("place") + CORE + ahead)
+    some = suffixes.filter(behind + ahead >= more).select("id", "core", "place", "room_behind", "room_ahead")
+    open_ = some.join(reach, "id", "left").filter(~F.coalesce(covered, F.lit(False))).select("core").distinct()
     rows = suffixes.join(open_, "core")
     windows = F.transform(
         F.sequence(F.lit(0), F.lit(more)),
