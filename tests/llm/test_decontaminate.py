@@ -61,6 +61,23 @@ def test_against_brute_force(spark, frame, prose, rng):
     assert left.columns == frame(docs).columns
 
 
+def test_words_missing_at_a_documents_start(spark, frame, prose, rng):
+    items, docs = [], []
+    for i in range(80):
+        n = (38, 59, 80, 100)[i % 4]
+        words = prose(n).split()
+        items.append((i, " ".join(words)))
+        most = int(decontaminate.edits_allowed(n))
+        gone = set(range(most)) if i % 8 < 4 else {k * n // most + rng.randrange(n // most) for k in range(most)}
+        left = [w for k, w in enumerate(words) if k not in gone]
+        docs.append((i, " ".join(left + [f"other{rng.randrange(9999)}" for _ in range(60)])))
+    rows = decontaminate.contaminated(frame(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len({r.doc_id for r in rows if r.doc_id == r.item_id}) >= 78
+    for r in rows:
+        n, most = r.n_item_words, int(decontaminate.edits_allowed(r.n_item_words))
+        assert r.start_word == 0 and r.distance == most and r.end_word == n - most
+
+
 def test_no_rows(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
