@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswell.llm import bpe, chat, decontaminate, language, line_dedup, minhash, neighbours, passages, quality, token_file
+from upswell.llm import bpe, chat, decontaminate, language, lexical, line_dedup, minhash, neighbours, packing, passages, quality, spelling, token_file
 from upswell.llm.frames import held_out, table
 
 
@@ -106,6 +106,27 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their forms. So that variants exist, a letter is dropped from a run
+    of a document where the hash of both says so."""
+    hashed = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("word")).cast("binary"))
+    at = F.when(hashed % 31 == 0, (hashed % F.length("word")).cast("int"))
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), at))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 2048 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(packing.pieces(table(spark, folder, "documents"), path, with_ids=False)).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_format": op2_chat_format,
@@ -117,8 +138,13 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _ESCAPED = "replace(replace({0}, chr(92), chr(92) || 'b'), '<|', chr(92) || 'l')"
 
 ORACLES: dict[str, str] = {
@@ -134,4 +160,55 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length('<|im_start|><|im_end|>') + 2 + length(replace({_ESCAPED.format("role")}, chr(10), chr(92) || 'n'))
         + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
 FROM said GROUP BY conv_id""",
+    # Its first three parts work out crc32 by its table; words meet on equal rests after one code point goes.
+    "op11_spelling_variants": f"""
+WITH RECURSIVE bits AS (
+    SELECT i, CAST(i AS UBIGINT) AS c, 0 AS k FROM range(256) AS r(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+entries AS (SELECT list(c ORDER BY i) AS entry FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+each AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+coded AS (
+    SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda ch:
+        CASE WHEN unicode(ch) < 128 THEN [unicode(ch)] ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64] END)) AS bytes FROM each),
+hashed AS (
+    SELECT run, n, xor(list_reduce(list_transform(bytes, lambda b: CAST(b AS UBIGINT)),
+        lambda c, b: xor(c >> 8, entry[CAST((xor(c, b) & 255) + 1 AS BIGINT)]), CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT)) AS h
+    FROM coded, entries),
+made AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n
+    FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+rests AS (
+    SELECT word, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS near FROM rests AS a JOIN rests AS b USING (i, head, tail) WHERE a.word <> b.word
+    UNION SELECT r.word, w.word FROM rests AS r JOIN words AS w ON w.word = r.head || r.tail
+    UNION SELECT w.word, r.word FROM rests AS r JOIN words AS w ON w.word = r.head || r.tail),
+best AS (
+    SELECT near.word, count(*) AS n_near, first(near.near ORDER BY o.n DESC, near.near) AS form, max(o.n) AS form_n
+    FROM near JOIN words AS o ON o.word = near.near GROUP BY near.word),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+        CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+    FROM words AS w LEFT JOIN best USING (word)),
+ways AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL SELECT ways.word, forms.word, forms.form FROM ways JOIN forms ON forms.word = ways.next)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM ways WHERE next IS NULL) USING (word)""",
+    "op12_lexical_search": f"""
+WITH runs AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM runs GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf) AS n FROM tfs GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n) AS terms FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tfs, totals GROUP BY term, docs),
+asked AS (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term FROM benchmark),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (doc_id), totals GROUP BY item_id, doc_id),
+places AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM places WHERE rank <= 20""",
 }
