@@ -497,6 +497,16 @@ ORACLES = {
                          AND near[2].score < 95 THEN 'fuzzy' END AS method
             FROM lookup_near)""",
     ),
+    "closest_words": query(
+        ["titles"],
+        f"""
+      SELECT asked, CAST(place AS INTEGER) AS place, text, round(score, 6) AS score FROM (
+        SELECT asked, text, score, row_number() OVER (PARTITION BY asked ORDER BY score DESC, text) AS place
+        FROM (SELECT asked, text, {alike("asked", "text")} AS score
+              FROM (SELECT DISTINCT lower(list_last(string_split(title, ' '))) AS asked FROM titles WHERE NOT title LIKE '% ' AND title <> ''),
+                   (SELECT DISTINCT lower(string_split(title, ' ')[1]) AS text FROM titles WHERE NOT title LIKE ' %' AND title <> '')))
+      WHERE place <= 4""",
+    ),
     "possible_alias": query(
         ["user_profile"],
         """SELECT artist_key, alias_name AS possible_alias_of FROM user_profile

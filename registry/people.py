@@ -129,6 +129,15 @@ def fuzzy_lookup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def closest_words(spark: SparkSession, folder: str) -> DataFrame:
+    """For the last word of every page title, the four first words of titles most like it."""
+    words = F.split(F.lower(F.regexp_extract("html", "<title>(.*?)</title>", 1)), " ")
+    pages = views.table(spark, folder, "pages").select(words[0].alias("first"), F.element_at(words, -1).alias("last"))
+    entries = pages.select(F.col("first").alias("text"), F.col("first").alias("label")).filter("text <> ''")
+    found = fuzzy.closest(pages.select(F.col("last").alias("text")).filter("text <> ''"), entries)
+    return found.select("asked", "place", "text", F.round("score", 6).alias("score"))
+
+
 def possible_alias(spark: SparkSession, folder: str) -> DataFrame:
     return signals.possible_aliases(views.user_profile(spark, folder))
 
@@ -391,6 +400,7 @@ QUERIES = {
     "match_counts": match_counts,
     "match_review": match_review,
     "fuzzy_lookup": fuzzy_lookup,
+    "closest_words": closest_words,
     "possible_alias": possible_alias,
     "live_source": live_source,
     "user_seeds": user_seeds,

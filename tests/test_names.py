@@ -101,6 +101,63 @@ def test_lcs_against_the_textbook():
         assert fuzzy.lcs_length(a, b) == plain_lcs(a, b)
 
 
+def test_lcs_of_many_pairs_at_once():
+    rng = random.Random(4)
+    texts = ["", "a", "\0\0", "naïve", "東京 tower", "x" * 64, "x" * 65, "ab" * 90]
+    texts += ["".join(rng.choices(rng.choice(["ab", "abcdefghij ", "äöü\0x"]), k=rng.randint(0, 130))) for _ in range(150)]
+    pairs = [(rng.choice(texts), rng.choice(texts)) for _ in range(1500)]
+    got = fuzzy.lcs_lengths([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [plain_lcs(a, b) for a, b in pairs]
+    assert fuzzy.lcs_lengths([], []).tolist() == []
+
+
+@pytest.mark.parametrize("population", [3, 60, 400])
+def test_closest_against_brute_force(spark, population, monkeypatch):
+    """Marks from 0 to 100, so groups of every length are used; common groups are split."""
+    monkeypatch.setattr(fuzzy, "HOT_GROUP", 50)
+    rng = random.Random(population)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(1, 9))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(population)]
+    asked = rng.choices(texts, k=6) + ["".join(rng.choices(t, k=len(t))) for t in rng.choices(texts, k=8)]
+    asked += [t[1:] for t in rng.choices(texts, k=8)] + ["", "z", "qqqq", "b", "ab", "東京", "abc " * 30, texts[0], texts[0]]
+    entries = [(t, f"{t}/{i % 3}") for i, t in enumerate([*texts, "", "xy", "z"])] + [(texts[0], "0 first"), (None, "none")]
+    want = {}
+    for a in set(asked):
+        scored = {(-fuzzy.likeness(a, t), label, t) for t, label in entries if t is not None}
+        want[a] = [(label, t, -s) for s, label, t in sorted(scored)[:4]]
+    out = fuzzy.closest(spark.createDataFrame([(a,) for a in [*asked, None]], "text string"), spark.createDataFrame(entries, "text string, label string"))
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: r.place):
+        got.setdefault(r.asked, []).append((r.label, r.text, r.score))
+    assert {a: [(label, t) for label, t, _ in rows] for a, rows in got.items()} == {a: [(label, t) for label, t, _ in rows] for a, rows in want.items()}
+    assert all(x[2] == pytest.approx(y[2]) for a in want for x, y in zip(got[a], want[a]))
+
+
+def test_closest_of_nothing(spark):
+    none, one = spark.createDataFrame([], "text string, label string"), spark.createDataFrame([("a", "a")], "text string, label string")
+    assert fuzzy.closest(none, one).collect() == []
+    assert fuzzy.closest(one, none).collect() == []
+
+
+def test_closest_scores_few_pairs(spark, monkeypatch):
+    """Python sees the first look and what can still reach the mark, not every pair."""
+    rng = random.Random(9)
+    names = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(1500)]
+    asked = [n[:5] + "x" + n[6:] for n in names[:20]]
+    frame = spark.createDataFrame([(n, n) for n in names], "text string, label string")
+    seen = spark.sparkContext.accumulator(0)
+    scored = fuzzy.likeness_of.func
+
+    def counted(left, right):
+        seen.add(len(left))
+        return scored(left, right)
+
+    monkeypatch.setattr(fuzzy, "likeness_of", fuzzy.pandas_udf(counted, "double"))
+    rows = fuzzy.closest(spark.createDataFrame([(a,) for a in asked], "text string"), frame, 1).collect()
+    assert [r.text for r in sorted(rows, key=lambda r: asked.index(r.asked))] == names[:20]
+    assert seen.value < 0.1 * len(asked) * len(names)
+
+
 def test_similar_texts_miss_nothing(spark):
     """Against brute force: short and long texts, small alphabets, repeats, many near copies."""
     rng = random.Random(11)
@@ -156,6 +213,8 @@ def test_lookup(spark):
     assert not got["Spoonz"].matched
     assert {a["name"] for a in got["Spoonz"].alternatives} >= {"Spoon", "Spoons"}
     assert not got["Pheobe Bridgers"].matched
+    many = spark.range(120).select(F.concat(F.lit("Spoon "), F.col("id") % 60).alias("query"), "id")
+    assert resolve.find_entities(df, many).filter("NOT matched AND size(alternatives) = 3").count() == 120
 
 
 def test_prompt_texts(spark):

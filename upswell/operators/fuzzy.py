@@ -10,7 +10,9 @@ letter counts or lengths already differ by too much are dropped inside the join.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +20,8 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from upswell import settings
-from upswell.operators.latest import top_per
-from upswell.staging import spread
+from upswell.operators.latest import one_per, top_per
+from upswell.staging import spread, staged
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -35,6 +37,46 @@ def lcs_length(a: str, b: str) -> int:
     return (full ^ row).bit_count()
 
 
+LOCKSTEP = 4096  # pairs handled together
+
+
+def _codes(texts: list[str], width: int, blank: int) -> np.ndarray:
+    """Code points of short texts, one row each, filled up with a number that is none."""
+    lengths = np.array([len(t) for t in texts])
+    out = np.full((len(texts), width), blank, np.uint32)
+    column = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(np.arange(len(texts)), lengths), column] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    return out
+
+
+def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
+    """Longest common subsequences of many pairs in lockstep. The columns of a pair are the bits of
+    one machine word, for the shorter text of up to 64 characters; a step takes the next character
+    of every longer text. Pairs of like lengths go together; two longer texts go one by one."""
+    short = [a if len(a) <= len(b) else b for a, b in zip(left, right)]
+    long = [b if len(a) <= len(b) else a for a, b in zip(left, right)]
+    sizes = np.array([[len(a), len(b)] for a, b in zip(short, long)]).reshape(-1, 2)
+    words = np.searchsorted([16, 32, 64], sizes[:, 0])
+    out = np.zeros(len(short), np.int64)
+    order = np.lexsort([sizes[:, 1], words])
+    for word, bits in enumerate((16, 32, 64)):
+        own = order[words[order] == word]
+        for first in range(0, len(own), LOCKSTEP):
+            rows = own[first : first + LOCKSTEP]
+            a = _codes([short[i] for i in rows], bits, 0xFFFFFFFE)
+            b = _codes([long[i] for i in rows], int(sizes[rows, 1].max()), 0xFFFFFFFF)
+            full = np.left_shift(np.uint64(1), sizes[rows, 0].astype(np.uint64) % np.uint64(64)) - np.uint64(1)
+            full[sizes[rows, 0] == 64] = np.uint64(2**64 - 1)
+            row = full.copy()
+            for ch in b.T:
+                hits = np.packbits(a == ch[:, None], axis=1, bitorder="little").view(f"<u{bits // 8}")[:, 0] & row
+                row = (row + hits) | (row - hits)  # bits above the text's may change; they count for nothing
+            out[rows] = np.bitwise_count(full & ~row)
+    for i in np.flatnonzero(words == 3):
+        out[i] = lcs_length(short[i], long[i])
+    return out
+
+
 def likeness(a: str | None, b: str | None) -> float | None:
     if a is None or b is None:
         return None
@@ -44,7 +86,11 @@ def likeness(a: str | None, b: str | None) -> float | None:
 
 @pandas_udf(DoubleType())
 def likeness_of(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([likeness(a, b) for a, b in zip(left, right)], dtype="float64")
+    a, b = left.fillna("").tolist(), right.fillna("").tolist()
+    total = np.array([len(x) + len(y) for x, y in zip(a, b)], np.float64)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        score = np.where(total == 0, 100.0, 200.0 * lcs_lengths(a, b) / total)
+    return pd.Series(np.where(left.isna() | right.isna(), np.nan, score))
 
 
 def sorted_tokens(form: Column) -> Column:
@@ -102,12 +148,7 @@ def rarest_groups(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: floa
 
 def join_side(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float, side: str) -> DataFrame:
     """One row per text and rare group, with the text's length and letter counts."""
-    codes = F.transform(F.split("text", ""), lambda ch: F.ascii(ch) % BAG)
-
-    def count_of(i: int) -> Column:
-        return F.coalesce(F.size(F.filter(codes, lambda code: code == F.lit(i))), F.lit(0))
-
-    counts = [count_of(i).alias(f"{side}{i}") for i in range(BAG)]
+    counts = [c.alias(f"{side}{i}") for i, c in enumerate(_letter_counts(F.col("text")))]
     # Counted once per text, before its groups become rows.
     counted = rarest_groups(texts, frequencies, q, cutoff).select(
         F.col("text").alias(f"{side}_text"),
@@ -180,18 +221,99 @@ def similar_texts(
     )
 
 
-def closest(scored: DataFrame, names: list[str], text: str, n: int = 4) -> DataFrame:
-    """The ``n`` texts most like each requested name, exactly and with no cutoff. The request
-    list is an argument (a handful of names), carried as a literal; every text is compared with
-    it where it lies, and only ``n`` rows per name leave each task."""
-    wanted = F.array(*[F.lit(name) for name in names])
-    pairs = scored.withColumn("query_form", F.explode(wanted)).withColumn(
-        "score",
-        likeness_of(sorted_tokens(F.col("query_form")), sorted_tokens(F.col(text))),
-    )
-    return top_per(
-        pairs, ["query_form"], [F.col("score").desc(), F.col(text)], n, "place"
-    )
+LEVELS = (3, 2, 1)  # letters in a group, from the most telling to the one that always works
+START_GROUPS = 4  # rarest groups of each length a first look goes by
+START_PAIRS = 4  # times as many as asked for are scored at the first look
+HOT_GROUP = 100_000  # texts a letter group may have before its list is split
+
+
+def _letter_counts(text: Column) -> list[Column]:
+    codes = F.transform(F.split(text, ""), lambda ch: F.ascii(ch) % BAG)
+
+    def count_of(i: int) -> Column:
+        return F.coalesce(F.size(F.filter(codes, lambda code: code == F.lit(i))), F.lit(0))
+
+    return [count_of(i) for i in range(BAG)]
+
+
+def _groups(text: Column) -> Column:
+    """All letter groups of all lengths, as (q, part)."""
+
+    def of_length(q: int) -> Column:
+        return F.transform(letter_groups(text, q), lambda p: F.struct(F.lit(q).alias("q"), p.alias("part")))
+
+    return F.flatten(F.array(*map(of_length, LEVELS)))
+
+
+def _lost_share(q: int, mark: Column) -> Column:
+    """:func:`lost_share` where each text has its own cutoff, which may be 0."""
+    r = 1 - mark / 100
+    own, other = (q - 0.5) * r + 0.5, (q - 0.5) * r - 0.5
+    longest = F.when(mark > 0, (1 + r) / (1 - r)).otherwise(1e9)
+    return own + other * F.when(other < 0, (1 - r) / (1 + r)).otherwise(longest)
+
+
+def closest(asked: DataFrame, entries: DataFrame, n: int = 4) -> DataFrame:
+    """The ``n`` of ``entries`` (text, label) most alike to every asked ``text``, exactly and without a
+    cutoff: columns ``asked``, ``text``, ``label``, ``score``, ``place``; equal scores by label.
+
+    A threshold search over an index of letter groups. A first look at the texts that share an asked
+    text's rarest groups scores the most promising ones; the n-th best sets its mark. A text that
+    reaches the mark can miss only so many groups, so it shares one of as many of the rarest and one
+    more; the higher the mark, the longer the groups that suffice, and single letters always do, as
+    texts without a common letter score 0. Of those that share one, only texts whose length and
+    letters leave the mark within reach are scored. Any number of texts may be asked for."""
+    asked = staged(asked.select(F.col("text").alias("asked")).filter("asked IS NOT NULL").distinct())
+    entries = staged(entries.select("text", "label").filter("text IS NOT NULL").distinct())
+    counts = [c.alias(f"_c{i}") for i, c in enumerate(_letter_counts(F.col("text")))]
+    facts = spread(entries.select("text").distinct(), "text").select("text", F.length("text").alias("_length"), *counts, _groups(F.col("text")).alias("_g"))
+    index = staged(facts.select("*", F.explode("_g").alias("g")).select("text", "_length", *[f"_c{i}" for i in range(BAG)], "g.q", "g.part"))
+    sizes = index.groupBy("q", "part").agg(F.count("*").alias("texts"))
+    # Lists of very common groups are split, and what looks in them is sent to every piece.
+    pieces = F.ceil(F.col("texts") / HOT_GROUP).cast("int")
+    hot = sizes.filter(F.col("texts") > HOT_GROUP).select("q", "part", pieces.alias("pieces"))
+    index = index.join(hot, ["q", "part"], "left").withColumn("piece", F.pmod(F.xxhash64("text"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces")
+
+    own = asked.select("asked", F.explode(_groups(F.col("asked"))).alias("g")).select("asked", "g.*").join(sizes, ["q", "part"], "left")
+    rarest = F.array_sort(F.collect_list(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "part")))
+    ordered = staged(own.groupBy("asked", "q").agg(rarest.alias("groups")))
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        """Rows with an array of ``groups`` of one length, beside the texts that have one of them."""
+        split = rows.withColumn("_parts", F.col("groups.part")).withColumn("g", F.explode("groups")).filter("g.texts > 0")
+        every = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("g.texts") / HOT_GROUP) - 1).cast("int")))
+        return split.withColumn("part", F.col("g.part")).withColumn("piece", every).drop("groups", "g").join(index, ["q", "part", "piece"])
+
+    known = F.filter("groups", lambda g: g["texts"] > 0)
+    start = ordered.filter("q > 1").withColumn("groups", F.slice(known, 1, START_GROUPS))
+    first = looked_up(start).groupBy("asked", "text").agg(F.count("*").alias("shared"), F.abs(F.max("_length") - F.length("asked")).alias("apart"))
+    promising = top_per(first, ["asked"], [F.col("shared").desc(), F.col("apart"), F.col("text")], START_PAIRS * n, "_n")
+    scored = staged(promising.select("asked", "text", likeness_of("asked", "text").alias("score")))
+    marks = (
+        top_per(scored, ["asked"], [F.col("score").desc()], n, "_n")
+        .groupBy("asked").agg(F.count("*").alias("found"), F.min("score").alias("mark")).filter(F.col("found") >= n)
+    )
+    goal = asked.join(marks.select("asked", "mark"), "asked", "left").withColumn("mark", F.coalesce("mark", F.lit(0.0)))
+
+    # The longest groups that are sure to meet every text at the mark or above.
+    share = reduce(lambda rest, q: F.when(F.col("q") == q, _lost_share(q, F.col("mark"))).otherwise(rest), LEVELS, F.lit(None))
+    needed = F.floor(F.length("asked") * share + 1e-9) + 1
+    usable = ordered.join(goal, "asked").withColumn("_needed", needed).filter("_needed <= size(groups) OR q = 1")
+    level = one_per(usable, ["asked"], [F.col("q").desc()])
+    look = level.select("asked", "mark", "q", F.slice("groups", F.lit(1), F.least("_needed", F.size("groups")).cast("int")).alias("groups"), *[c.alias(f"_a{i}") for i, c in enumerate(_letter_counts(F.col("asked")))])
+    total = F.length("asked") + F.col("_length")
+    unlike = reduce(lambda so_far, i: so_far + F.abs(F.col(f"_a{i}") - F.col(f"_c{i}")), range(1, BAG), F.abs(F.col("_a0") - F.col("_c0")))
+    # At most what the letters of both allow. A pair counts at the first group it shares.
+    in_reach = 100.0 * (total - unlike) >= (F.col("mark") - 1e-6) * total
+    once = F.filter("_parts", lambda p: F.contains(F.col("text"), p))[0] == F.col("part")
+    reached = looked_up(look).filter(F.when(in_reach, once).otherwise(False)).select("asked", "text")
+    more = reached.join(scored.select("asked", "text"), ["asked", "text"], "left_anti")
+    found = scored.unionByName(more.select("asked", "text", likeness_of("asked", "text").alias("score")))
+    # Where fewer than n share a letter, those first in order fill up.
+    lowest = [r.text for r in entries.orderBy("label", "text").limit(n).collect()]
+    filler = asked.select("asked", F.explode(F.array(*[F.lit(t) for t in lowest]).cast("array<string>")).alias("text"))
+    found = found.unionByName(filler.select("asked", "text", likeness_of("asked", "text").alias("score"))).distinct()
+    return top_per(found.join(entries, "text"), ["asked"], [F.col("score").desc(), F.col("label")], n, "place").select("asked", "text", "label", "score", "place")
 
 
 def best_match(pairs: DataFrame, by: str, order: list[Column]) -> DataFrame:

@@ -9,7 +9,6 @@ from upswell import settings
 from upswell.functions.text import entity_key, is_tribute, key_to_mbid, match_form
 from upswell.operators.fuzzy import best_match, closest, similar_texts, sorted_tokens
 from upswell.operators.latest import one_per
-from upswell.plans.ranking import BadRequest
 from upswell.staging import staged
 
 MATCH_COLUMNS = (
@@ -153,30 +152,34 @@ def performers_of(bill: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def find_entities(signals: DataFrame, names: list[str]) -> DataFrame:
-    """Look up names as a person types them. One row per name: whether and how it matched, the
+def find_entities(signals: DataFrame, names: list[str] | DataFrame) -> DataFrame:
+    """Look up names as a person types them, a list or a table with a ``query`` column of any length.
+    One row per name asked: whether and how it matched, the
     entity, and up to three alternatives "name (score)". An exact name wins; otherwise only a
     clear, close and long enough name is taken, else the asker must choose.
 
     signals: artist_key, name, size_band, lastfm_listeners, possible_alias_of."""
-    if len(names) > settings.MAX_LIMIT:
-        raise BadRequest(f"at most {settings.MAX_LIMIT} names at a time")
-    spark = signals.sparkSession
-    # The names are a short argument; their forms are worked out by the same expressions.
-    asked = spark.createDataFrame([(n,) for n in names], "query STRING").withColumn(
-        "query_form", match_form(F.col("query"))
+    if not isinstance(names, DataFrame):
+        names = signals.sparkSession.createDataFrame([(n,) for n in names], "query STRING")
+    # Names are folded once, as is what they are looked up in.
+    asked = staged(names.select("query").withColumn("query_form", match_form(F.col("query"))))
+    entities = staged(
+        one_per(
+            signals.withColumn("form", match_form(F.col("name"))),
+            ["form"],
+            [
+                F.col("possible_alias_of").isNotNull(),
+                F.col("lastfm_listeners").desc_nulls_last(),
+                F.col("artist_key"),
+            ],
+        ).select("form", "artist_key", "name", "size_band", sorted_tokens(F.col("form")).alias("text"))
     )
-    forms = [r.query_form for r in asked.select("query_form").distinct().collect()]
-    entities = one_per(
-        signals.withColumn("form", match_form(F.col("name"))),
-        ["form"],
-        [
-            F.col("possible_alias_of").isNotNull(),
-            F.col("lastfm_listeners").desc_nulls_last(),
-            F.col("artist_key"),
-        ],
-    ).select("form", "artist_key", "name", "size_band")
-    nearest = closest(entities, forms, "form")
+    forms = asked.select("query_form", sorted_tokens(F.col("query_form")).alias("asked")).distinct()
+    near = closest(forms.select(F.col("asked").alias("text")), entities.select("text", F.col("form").alias("label")))
+    nearest = (
+        forms.join(near.select("asked", F.col("label").alias("form"), "score", "place"), "asked")
+        .join(entities.drop("text"), "form")
+    )
     entry = F.struct("place", "score", "form", "artist_key", "name", "size_band")
     per_form = nearest.groupBy("query_form").agg(F.array_sort(F.collect_list(entry)).alias("near"))
     exact = F.filter("near", lambda c: c["form"] == F.col("query_form"))
