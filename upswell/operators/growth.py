@@ -130,6 +130,17 @@ def growth_history(
     )
 
 
+def history_after(
+    last: DataFrame, daily: DataFrame, metrics: dict[str, str], key: str = "artist_key", day: str = "snapshot_date"
+) -> DataFrame:
+    """The days of ``daily`` as :func:`growth_history` gives them, when ``last`` holds each
+    entity's last row before them: no earlier day is read."""
+    rows = daily.withColumn("_new", F.lit(True)).unionByName(
+        last.select(*daily.columns).withColumn("_new", F.lit(False))
+    )
+    return growth_history(rows, metrics, key, day).filter("_new").drop("_new")
+
+
 def trend_summary(
     history: DataFrame,
     total: str,

@@ -88,16 +88,39 @@ def artist_profile(parsed: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def newer_rows(kept: DataFrame, fresh: DataFrame, key: str, day: str) -> DataFrame:
+    """One row per key out of two tables that hold one each: the later day's, the fresh one on
+    the same day. Folding days in one after the other gives what all days at once would."""
+    both = kept.withColumn("_fresh", F.lit(0)).unionByName(fresh.withColumn("_fresh", F.lit(1)))
+    return one_per(both, [key], [F.col(day).desc(), F.col("_fresh").desc()]).drop("_fresh")
+
+
+def newest_chart_rows(charts: DataFrame) -> DataFrame:
+    """The newest row per (day, country, rank)."""
+    return one_per(charts, ["snapshot_date", "country", "rank"], [F.col("fetched_at").desc()])
+
+
+def tracked_names(profile: DataFrame) -> DataFrame:
+    """Lower-cased name and the entity it stands for: ``lname``, ``tracked``. The minimum
+    combines map-side; one row per name joins without fan-out."""
+    return profile.groupBy(F.lower("name").alias("lname")).agg(F.min("artist_key").alias("tracked"))
+
+
+def renamed(before: DataFrame, now: DataFrame) -> DataFrame:
+    """``lname`` of every name that stands for another entity, or for one only before or now."""
+    old = before.select("lname", F.col("tracked").alias("_before"))
+    return old.join(now, "lname", "full").filter(~F.col("_before").eqNullSafe(F.col("tracked"))).select("lname")
+
+
 def resolve_chart_names(charts: DataFrame, profile: DataFrame) -> DataFrame:
     """Give chart rows the tracked entity's key where the name is tracked, ignoring case.
     Keeps the newest row per (day, country, rank); ``charts`` has ``chart_artist_key``."""
-    newest = one_per(
-        charts, ["snapshot_date", "country", "rank"], [F.col("fetched_at").desc()]
-    )
-    # min per lower-cased name combines map-side; one row per name joins without fan-out.
-    names = profile.groupBy(F.lower("name").alias("_lname")).agg(
-        F.min("artist_key").alias("_tracked")
-    )
+    return with_tracked(newest_chart_rows(charts), tracked_names(profile))
+
+
+def with_tracked(newest: DataFrame, names: DataFrame) -> DataFrame:
+    """Chart rows of :func:`newest_chart_rows` with the keys of :func:`tracked_names`."""
+    names = names.select(F.col("lname").alias("_lname"), F.col("tracked").alias("_tracked"))
     return newest.join(names, F.lower("name") == F.col("_lname"), "left").select(
         "snapshot_date",
         "country",

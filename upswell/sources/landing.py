@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from upswell import settings
+from upswell import folders, settings
 from upswell.functions.variants import at, date_at, number_at, strings_at, text_at
 from upswell.operators.latest import on_latest_day, one_per
 
@@ -39,13 +39,7 @@ def write_landing(df: DataFrame, root: str, dataset: str, day: str = "snapshot_d
 def landed_days(spark: SparkSession, root: str, dataset: str) -> list[str]:
     """Days that have a folder, oldest first; other names are ignored, a missing dataset is
     empty. Lists folder names only, so it costs one directory listing however much landed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{dataset}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    return sorted(n[3:] for n in names if n.startswith("dt="))
+    return folders.values(spark, f"{root}/{dataset}", "dt")
 
 
 def days_to_load(
@@ -86,22 +80,13 @@ def replace_days(df: DataFrame, path: str, day: str = "snapshot_date", days: Seq
         .partitionBy(day)
         .parquet(path)
     )
-    emptied = set(days) - set(seen.get["days"])
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for d in emptied:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={d}")
-        folder.getFileSystem(conf).delete(folder, True)
+    for d in set(days) - set(seen.get["days"]):
+        folders.delete(df.sparkSession, f"{path}/{day}={d}")
 
 
 def loaded_days(spark: SparkSession, path: str, day: str = "snapshot_date") -> list[str]:
     """Days of a raw table, read from its partition folders."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day}="))
+    return folders.values(spark, path, day)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -132,14 +117,16 @@ def ingest(
     return todo
 
 
+def read_pool(spark: SparkSession, file: str) -> DataFrame:
+    """The current candidate pool, one line per member."""
+    return spark.read.text(file).select(
+        F.try_parse_json("value").alias("raw"), F.current_timestamp().alias("_ingested_at")
+    )
+
+
 def replace_pool(spark: SparkSession, file: str, path: str) -> None:
     """The current candidate pool is one dataset, replaced whole."""
-    (
-        spark.read.text(file)
-        .select(F.try_parse_json("value").alias("raw"), F.current_timestamp().alias("_ingested_at"))
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    read_pool(spark, file).write.mode("overwrite").parquet(path)
 
 
 def typed(lines: DataFrame, contract: str, text: str = "value") -> DataFrame:

@@ -10,6 +10,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from upswell import folders
+
 _owned: ContextVar[list[str] | None] = ContextVar("staged paths of the run", default=None)
 
 
@@ -64,7 +66,5 @@ def cleared_after(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _owned.reset(token)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for name in paths:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        for path in paths:
+            folders.delete(spark, path)
