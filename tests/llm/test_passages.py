@@ -75,6 +75,26 @@ def test_partners_among_many_variants_of_a_core(frame, prose):
     assert found(frame, docs) == covered(docs)
 
 
+def test_null_ids_and_long_texts(frame, prose):
+    text = prose(60)
+    for docs in ([(None, text), (0, text)], [(None, text), (5, text)], [(0, text), (5, text), (0, text), (None, text)]):
+        assert found(frame, docs) == covered(docs) and len(found(frame, docs)) == len({d for d, _ in docs})
+    part = prose(70)
+    docs = [(1, " ".join([prose(30_000), part, prose(5_000)])), (2, part), (3, " ".join([part] * 3))]
+    assert found(frame, docs) == covered(docs)
+
+
+def test_one_passage_in_many_documents(frame, prose, rng):
+    """A third of the documents hold a passage of their own or in part, some twice, some rows repeat."""
+    part = prose(90).split()
+    docs = [(i, prose(60)) for i in range(200)]
+    for i in range(200, 300):
+        k = rng.randrange(30)
+        docs.append((i, " ".join([prose(rng.randrange(20)), *part[k : k + rng.randrange(45, 60)], prose(rng.randrange(20))])))
+    docs += [docs[-1], docs[-1], docs[-2], (400, " ".join([*part, "x", *part]))]
+    assert found(frame, docs) == covered(docs)
+
+
 def test_repeated_rows_are_one_document_and_no_rows(frame, prose):
     text = prose(300)
     assert found(frame, [(1, text), (1, text), (2, prose(100))]) == {}

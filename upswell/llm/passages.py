@@ -4,9 +4,10 @@ Texts are sequences of words. Of all suffixes only those are kept that start at
 whose hash is the smallest of the places around it. Every passage of MIN_WORDS words holds the first
 CORE words of a kept suffix. Suffixes whose core no other shares are dropped; the others are sorted
 by core and by the words after it, and by core and the words before it, backwards; in either order
-neighbours are compared and the match is extended to both sides. Suffixes whose matches leave out
-words around their core look for the windows of MIN_WORDS words around it, which finds partners that
-are neighbours in neither order."""
+neighbours are compared and the match is extended to both sides. Neighbours also bound what any
+other suffix can share on either side; where that leaves a window of MIN_WORDS words around the core
+open, the suffixes of the core are compared by that window, which finds partners that are neighbours
+in neither order."""
 
 from __future__ import annotations
 
@@ -29,6 +30,9 @@ CORE = MIN_WORDS - WINDOW + 1
 GRAM = 4
 #: Words to either side of a core that are compared; a longer match goes on at the next kept place.
 SIDE = WINDOW
+#: Words of the shortest passage beside its core.
+MORE = MIN_WORDS - CORE
+TOLD = "core long, doc_id long, text_print long, place int, ahead int, behind int, windows int, start_word long, end_word long"
 
 
 def kept_places(words: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -115,57 +119,93 @@ def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
 
 
+def _repeats(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which windows around a core lie inside a match of ``a`` words ahead and ``b`` behind, as bits:
+    bit j stands for the window with j words ahead and MORE - j behind. None where a < 0."""
+    j = np.arange(MORE + 1)
+    inside = (j <= a[:, None]) & (MORE - j <= b[:, None])
+    return (inside * (1 << j)).sum(axis=1)
+
+
 def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every suffix its matches with the ones before and after it in the order given. Only the
-    last row of a batch is kept for the next."""
-    last = None
+    """For every suffix what its neighbours in the order given tell, in one row: how many words ahead
+    and behind they share at most, which windows their matches hold, and how far these reach. Only
+    the last row of a batch is kept for the next."""
+    last, carried = None, (-1, -1)
+
+    def told(table: pa.Table, ahead: np.ndarray, behind: np.ndarray) -> pa.RecordBatch:
+        """One row for each of ``table`` from what it shares with the row before and the row after."""
+        before, after = (ahead[:-1], behind[:-1]), (ahead[1:], behind[1:])
+        windows = _repeats(*before) | _repeats(*after)
+        low, high = np.full(len(table), -1), np.full(len(table), -1)
+        for a, b in (before, after):
+            match = a + b >= MORE
+            low, high = np.where(match, np.maximum(low, b), low), np.where(match, np.maximum(high, a), high)
+        place, found = table.column("place").to_numpy().astype(np.int64), windows > 0
+        most_ahead, most_behind = np.maximum(*(x[0] for x in (before, after))), np.maximum(*(x[1] for x in (before, after)))
+        as_int = lambda x: pa.array(x.astype(np.int32))
+        out = pa.table(
+            [
+                *(table.column(c) for c in ("core", "doc_id", "text_print", "place")), as_int(most_ahead), as_int(most_behind), as_int(windows),
+                pa.array(np.where(found, place - low, 0), mask=~found), pa.array(np.where(found, place + CORE + high, 0), mask=~found),
+            ],
+            names=[c.split()[0] for c in TOLD.split(", ")],
+        )
+        # neighbours of other cores only: this suffix has no partner here
+        return out.filter(pa.array(most_ahead >= 0)).combine_chunks()
+
     for batch in batches:
         if not len(batch):
             continue
         table = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+        held = 0 if last is None else 1
         last = batch.slice(len(batch) - 1)
         columns = {c: table.column(c).to_numpy() for c in ("core", "text_print", "place")}
         words = {c: np.frombuffer(b"".join(table.column(c).to_pylist()), ">u4").reshape(-1, SIDE).astype(np.uint32) for c in ("ahead", "behind")}
-        doc = table.column("doc_id").combine_chunks().fill_null(0).to_numpy()
+        doc, known = table.column("doc_id").combine_chunks(), table.column("doc_id").combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+        doc = doc.fill_null(0).to_numpy()
         # the same suffix of a repeated row is no match; the rows between are equal, so it is skipped
-        same = (doc[:-1] == doc[1:]) & (columns["text_print"][:-1] == columns["text_print"][1:]) & (columns["place"][:-1] == columns["place"][1:])
-        ahead, behind = _shared(words["ahead"][:-1], words["ahead"][1:]), _shared(words["behind"][:-1], words["behind"][1:])
-        match = np.flatnonzero((columns["core"][:-1] == columns["core"][1:]) & ~same & (ahead + behind + CORE >= MIN_WORDS))
-        if not len(match):
-            continue
-        taken = table.take(pa.array(np.concatenate([match, match + 1])))  # a match marks both
-        place = taken.column("place").to_numpy().astype(np.int64)
-        start, stop = place - np.tile(behind[match], 2), place + CORE + np.tile(ahead[match], 2)
-        out = pa.table([taken.column("id"), taken.column("doc_id"), taken.column("text_print"), pa.array(start), pa.array(stop)], names=["id", "doc_id", "text_print", "start_word", "end_word"])
-        yield from out.to_batches()
-
-
-def _by_windows(suffixes: DataFrame, matched: DataFrame) -> DataFrame:
-    """Spans of the windows of MIN_WORDS words that occur again, around cores of suffixes whose
-    matches do not reach over all such windows. Counted with map-side sums, so a window of very many
-    documents is no large group."""
-    more = MIN_WORDS - CORE
-    reach = matched.groupBy("id").agg(F.min("start_word").alias("low"), F.max("end_word").alias("high"))
-    behind, ahead = F.least("room_behind", F.lit(more)), F.least("room_ahead", F.lit(more))
-    # all matches of a suffix hold its core, so what they reach over has no gap
-    covered = (F.col("low") <= F.col("place") - behind) & (F.col("high") >= F.col("place") + CORE + ahead)
-    some = suffixes.filter(behind + ahead >= more).select("id", "core", "place", "room_behind", "room_ahead")
-    open_ = some.join(reach, "id", "left").filter(~F.coalesce(covered, F.lit(False))).select("core").distinct()
-    rows = suffixes.join(open_, "core")
-    windows = F.transform(
-        F.sequence(F.lit(0), F.lit(more)),
-        lambda j: F.struct(
-            j.alias("j"),
-            F.xxhash64("core", F.substring("ahead", F.lit(1), j * 4), F.substring("behind", F.lit(1), (more - j) * 4)).alias("window"),
-        ),
+        same = (doc[:-1] == doc[1:]) & (known[:-1] == known[1:])
+        same &= (columns["text_print"][:-1] == columns["text_print"][1:]) & (columns["place"][:-1] == columns["place"][1:])
+        met = (columns["core"][:-1] == columns["core"][1:]) & ~same
+        # the pair before the first row is the one carried over; a row without one shares nothing
+        first = carried if held else (-1, -1)
+        ahead, behind = (
+            np.concatenate([[f], np.where(met, _shared(words[c][:-1], words[c][1:]), -1)])
+            for f, c in zip(first, ("ahead", "behind"))
+        )
+        carried = (int(ahead[-1]), int(behind[-1]))
+        if len(table) > 1:
+            yield from told(table.slice(0, len(table) - 1), ahead, behind).to_batches()
+    if last is not None:
+        ends = [np.array([c, -1]) for c in carried]
+        yield from told(pa.Table.from_batches([last]), *ends).to_batches()
+
+
+def _by_windows(suffixes: DataFrame, told: DataFrame) -> DataFrame:
+    """Spans of the windows of MIN_WORDS words that occur again where no neighbour tells. A suffix
+    shares at most as many words ahead with any other as with its neighbours in the first order, and
+    behind as with those in the second. A window within both bounds that no match holds is open;
+    suffixes of its core are compared by that window. Counted with map-side sums, so a window of
+    very many documents is no large group."""
+    bits = F.sequence(F.lit(0), F.lit(MORE))
+    held = lambda j: F.expr("windows").bitwiseAND(F.call_function("shiftleft", F.lit(1), j)) != 0
+    within = lambda j: (j <= F.col("ahead")) & (F.lit(MORE) - j <= F.col("behind")) & ~held(j)
+    open_ = staged(told.select("core", F.explode(F.filter(bits, within)).alias("j")).distinct())
+    window = F.xxhash64("ahead", "behind")
+    rows = (
+        suffixes.join(open_, "core")
+        .filter((F.col("j") <= F.col("room_ahead")) & (F.lit(MORE) - F.col("j") <= F.col("room_behind")))
+        .withColumn("ahead", F.substring("ahead", F.lit(1), F.col("j") * 4))
+        .withColumn("behind", F.substring("behind", F.lit(1), (F.lit(MORE) - F.col("j")) * 4))
+        .select("core", "j", window.alias("window"), "doc_id", "text_print", "place")
     )
-    rows = rows.select("doc_id", "text_print", "place", "room_ahead", "room_behind", F.explode(windows).alias("w"))
-    rows = rows.filter((F.col("w.j") <= F.col("room_ahead")) & (more - F.col("w.j") <= F.col("room_behind")))
-    rows = rows.select("doc_id", "text_print", "place", "w.j", "w.window")
-    at = F.struct(F.coalesce("doc_id", F.lit(0)), "text_print", F.col("place") + F.col("j"))
-    again = rows.groupBy("window", "j").agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low < high").select("window", "j")
-    return rows.join(again, ["window", "j"]).select(
-        "doc_id", "text_print", (F.col("place") - more + F.col("j")).cast("long").alias("start_word"), (F.col("place") + CORE + F.col("j")).cast("long").alias("end_word")
+    rows = staged(rows)
+    at = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "text_print", F.col("place") + F.col("j"))
+    keys = ["core", "j", "window"]
+    again = rows.groupBy(*keys).agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low < high").select(*keys)
+    return rows.join(again, keys).select(
+        "doc_id", "text_print", (F.col("place") - MORE + F.col("j")).cast("long").alias("start_word"), (F.col("place") + CORE + F.col("j")).cast("long").alias("end_word")
     )
 
 
@@ -192,8 +232,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     from 0, end not included; touching passages as one).
 
     Words are runs without white space, compared as they are. Rows equal in doc_id and text are one
-    document. A null, empty or short text has no passage; a null doc_id comes back as null. Extra
-    columns are ignored."""
+    document. A null, empty or short text has no passage; a null doc_id comes back as null and is no
+    other document's. Very long texts are read whole, in slices of bounded size. Extra columns are
+    ignored."""
     named = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_print"), F.col("text").cast("string"))
     cores = staged(in_batches(named, _core_rows, "core long, doc_id long, text_print long, places array<int>"))
     twice = cores.groupBy("core").agg(F.sum(F.size("places")).alias("n")).filter("n > 1").select("core")
@@ -204,11 +245,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     same = named.doc_id.eqNullSafe(F.col("d")) & (named.text_print == F.col("p"))
     joined = named.join(asked, same).select("doc_id", "text_print", "text", "places")
     schema = "core long, ahead binary, behind binary, doc_id long, text_print long, place int, room_ahead int, room_behind int"
-    suffixes = staged(in_batches(joined, _suffix_rows, schema).withColumn("id", F.monotonically_increasing_id()))
-    by_core = suffixes.select("core", "ahead", "behind", "doc_id", "text_print", "place", "id").repartition("core")
-    found = "id long, doc_id long, text_print long, start_word long, end_word long"
+    suffixes = staged(in_batches(joined, _suffix_rows, schema))
+    by_core = suffixes.select("core", "ahead", "behind", "doc_id", "text_print", "place").repartition("core")
     one = ["doc_id", "text_print", "place"]
-    onward = by_core.sortWithinPartitions("core", "ahead", "behind", *one).mapInArrow(_neighbour_rows, found)
-    backward = by_core.sortWithinPartitions("core", "behind", "ahead", *one).mapInArrow(_neighbour_rows, found)
-    matched = staged(onward.union(backward))
-    return _merged_spans(matched.drop("id").union(_by_windows(suffixes, matched)))
+    onward = by_core.sortWithinPartitions("core", "ahead", "behind", *one).mapInArrow(_neighbour_rows, TOLD)
+    backward = by_core.sortWithinPartitions("core", "behind", "ahead", *one).mapInArrow(_neighbour_rows, TOLD)
+    # both orders together, and a repeated row's suffixes as one: the bounds hold for all of them
+    told = onward.union(backward).groupBy("core", *one).agg(
+        F.max("ahead").alias("ahead"), F.max("behind").alias("behind"), F.bit_or("windows").alias("windows"),
+        F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"),
+    )
+    told = staged(told)
+    spans = told.filter("start_word IS NOT NULL").select("doc_id", "text_print", "start_word", "end_word")
+    return _merged_spans(spans.union(_by_windows(suffixes, told)))
