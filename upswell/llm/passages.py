@@ -32,7 +32,7 @@ GRAM = 4
 SIDE = WINDOW
 #: Words of the shortest passage beside its core.
 MORE = MIN_WORDS - CORE
-TOLD = "core long, doc_id long, text_print long, place int, ahead int, behind int, windows int, start_word long, end_word long"
+TOLD = "core long, doc_id long, text_print long, place int, ahead int, behind int, windows int, led int, start_word long, end_word long"
 
 
 def kept_places(words: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -129,14 +129,16 @@ def _repeats(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For every suffix what its neighbours in the order given tell, in one row: how many words ahead
-    and behind they share at most, which windows their matches hold, and how far these reach. Only
-    the last row of a batch is kept for the next."""
+    and behind they share at most, which windows their matches hold, which of these the row before
+    alone holds (``led``), and how far the matches reach. Only the last row of a batch is kept for
+    the next."""
     last, carried = None, (-1, -1)
 
     def told(table: pa.Table, ahead: np.ndarray, behind: np.ndarray) -> pa.RecordBatch:
         """One row for each of ``table`` from what it shares with the row before and the row after."""
         before, after = (ahead[:-1], behind[:-1]), (ahead[1:], behind[1:])
-        windows = _repeats(*before) | _repeats(*after)
+        led = _repeats(*before)
+        windows = led | _repeats(*after)
         low, high = np.full(len(table), -1), np.full(len(table), -1)
         for a, b in (before, after):
             match = a + b >= MORE
@@ -146,7 +148,7 @@ def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         as_int = lambda x: pa.array(x.astype(np.int32))
         out = pa.table(
             [
-                *(table.column(c) for c in ("core", "doc_id", "text_print", "place")), as_int(most_ahead), as_int(most_behind), as_int(windows),
+                *(table.column(c) for c in ("core", "doc_id", "text_print", "place")), as_int(most_ahead), as_int(most_behind), as_int(windows), as_int(led),
                 pa.array(np.where(found, place - low, 0), mask=~found), pa.array(np.where(found, place + CORE + high, 0), mask=~found),
             ],
             names=[c.split()[0] for c in TOLD.split(", ")],
@@ -185,26 +187,37 @@ def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _by_windows(suffixes: DataFrame, told: DataFrame) -> DataFrame:
     """Spans of the windows of MIN_WORDS words that occur again where no neighbour tells. A suffix
     shares at most as many words ahead with any other as with its neighbours in the first order, and
-    behind as with those in the second. A window within both bounds that no match holds is open;
-    suffixes of its core are compared by that window. Counted with map-side sums, so a window of
-    very many documents is no large group."""
+    behind as with those in the second. A window within both bounds that no match holds is open.
+
+    Of the suffixes that share a window, those that the row before them in the first order shares it
+    with need not be looked at: going back from one of them ends at one that must, and never at an
+    open suffix, which shares the window with no neighbour. So a passage of very many documents
+    gives a few rows. Windows are counted with map-side sums."""
     bits = F.sequence(F.lit(0), F.lit(MORE))
-    held = lambda j: F.expr("windows").bitwiseAND(F.call_function("shiftleft", F.lit(1), j)) != 0
-    within = lambda j: (j <= F.col("ahead")) & (F.lit(MORE) - j <= F.col("behind")) & ~held(j)
-    open_ = staged(told.select("core", F.explode(F.filter(bits, within)).alias("j")).distinct())
-    window = F.xxhash64("ahead", "behind")
-    rows = (
-        suffixes.join(open_, "core")
-        .filter((F.col("j") <= F.col("room_ahead")) & (F.lit(MORE) - F.col("j") <= F.col("room_behind")))
-        .withColumn("ahead", F.substring("ahead", F.lit(1), F.col("j") * 4))
-        .withColumn("behind", F.substring("behind", F.lit(1), (F.lit(MORE) - F.col("j")) * 4))
-        .select("core", "j", window.alias("window"), "doc_id", "text_print", "place")
+    bit = lambda j: F.call_function("shiftleft", F.lit(1), j)
+    bounded = F.aggregate(
+        F.filter(bits, lambda j: (j <= F.col("ahead")) & (F.lit(MORE) - j <= F.col("behind"))),
+        F.lit(0), lambda mask, j: mask.bitwiseOR(bit(j)),
+    )
+    one = ["core", "doc_id", "text_print", "place"]
+    asked = told.select(*one, bounded.alias("bounded"), "windows", "led").select(
+        *one,
+        F.col("bounded").bitwiseAND(F.bitwise_not("windows")).alias("open"),
+        F.col("bounded").bitwiseAND(F.bitwise_not("led")).alias("looked_at"),
     )
+    wanted = staged(asked.filter("open <> 0").groupBy("core").agg(F.bit_or("open").alias("wanted")))
+    some = asked.join(wanted, "core").withColumn("looked_at", F.col("looked_at").bitwiseAND(F.col("wanted")))
+    some = staged(some.filter("looked_at <> 0").select(F.col("doc_id").alias("d"), "core", "text_print", "place", "looked_at", "open"))
+    joined = suffixes.join(some, ["core", "text_print", "place"]).filter(F.col("doc_id").eqNullSafe(F.col("d")))
+    rows = joined.withColumn("j", F.explode(F.filter(bits, lambda j: F.col("looked_at").bitwiseAND(bit(j)) != 0))).select(
+        "core", "j", "doc_id", "text_print", "place", (F.col("open").bitwiseAND(bit(F.col("j"))) != 0).alias("open"),
+        F.xxhash64(F.substring("ahead", F.lit(1), F.col("j") * 4), F.substring("behind", F.lit(1), (F.lit(MORE) - F.col("j")) * 4)).alias("window"),
+    )
     rows = staged(rows)
-    at = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "text_print", F.col("place") + F.col("j"))
+    at = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "text_print", "place")
     keys = ["core", "j", "window"]
     again = rows.groupBy(*keys).agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low < high").select(*keys)
-    return rows.join(again, keys).select(
+    return rows.filter("open").join(again, keys).select(
         "doc_id", "text_print", (F.col("place") - MORE + F.col("j")).cast("long").alias("start_word"), (F.col("place") + CORE + F.col("j")).cast("long").alias("end_word")
     )
 
@@ -250,9 +263,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     one = ["doc_id", "text_print", "place"]
     onward = by_core.sortWithinPartitions("core", "ahead", "behind", *one).mapInArrow(_neighbour_rows, TOLD)
     backward = by_core.sortWithinPartitions("core", "behind", "ahead", *one).mapInArrow(_neighbour_rows, TOLD)
+    backward = backward.withColumn("led", F.lit(-1))  # all windows: rows before count in the first order only
     # both orders together, and a repeated row's suffixes as one: the bounds hold for all of them
     told = onward.union(backward).groupBy("core", *one).agg(
-        F.max("ahead").alias("ahead"), F.max("behind").alias("behind"), F.bit_or("windows").alias("windows"),
+        F.max("ahead").alias("ahead"), F.max("behind").alias("behind"), F.bit_or("windows").alias("windows"), F.bit_and("led").alias("led"),
         F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"),
     )
     told = staged(told)
