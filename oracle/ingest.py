@@ -48,6 +48,25 @@ ORACLES = {
              CAST(sum(user_id) AS BIGINT) AS user_sum,
              dense_rank() OVER (ORDER BY CAST(ts AS DATE) DESC) <= 2 AS reloaded
       FROM events GROUP BY CAST(ts AS DATE)""",
+    "landing_contracts": """
+      SELECT contract, problem, count(*) AS lines FROM (
+        SELECT 'artist' AS contract, CASE p_size % 10 WHEN 0 THEN 'not JSON'
+          WHEN 1 THEN 'missing payload.name' END AS problem FROM part
+        UNION ALL
+        SELECT 'chart', CASE WHEN o_orderkey % 7 = 0 THEN 'wrong type'
+          WHEN o_orderstatus = 'P' THEN 'missing country' END FROM orders
+        UNION ALL
+        SELECT 'edge', CASE WHEN l_returnflag = 'R' THEN 'missing to_key' END FROM lineitem
+        UNION ALL
+        SELECT 'event', CASE WHEN user_id % 5 = 0 THEN 'wrong type'
+          WHEN user_id % 3 = 0 THEN 'missing payload.id' END FROM events)
+      GROUP BY ALL""",
+    "landing_kept": """
+      SELECT o_orderpriority AS country, CAST(o_orderkey AS INTEGER) AS rank,
+        'customer ' || o_custkey AS name, CAST(o_custkey AS BIGINT) AS listeners
+      FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderstatus <> 'P'""",
+    "dataset_replace": """
+      SELECT s_name AS name, CAST(s_nationkey AS BIGINT) AS nation, 'supplier' AS source FROM supplier""",
     "typed_landing": """SELECT 'name:' || p_name AS artist_key, p_name AS name,
       CAST(p_size AS BIGINT) AS listeners, p_partkey AS playcount FROM part""",
     "days_to_load": """

@@ -433,12 +433,45 @@ define(
     "facts",
     """
   SELECT s.*, d.text AS bio_summary, [d.lang, d.source] AS similar_names, d.doc_id
-  FROM (SELECT * FROM signals WHERE breakout_score IS NOT NULL AND possible_alias_of IS NULL
+  FROM (SELECT *, lastfm_listeners // 50 AS new_listeners_7d,
+          listeners_14d_growth_pct - 20 AS plays_7d_growth_pct
+        FROM (SELECT *, CAST(rank() OVER (ORDER BY breakout_score DESC NULLS LAST) AS INTEGER) AS breakout_rank FROM signals)
+        WHERE breakout_score IS NOT NULL AND possible_alias_of IS NULL
           AND size_band <> '2M+' ORDER BY breakout_score DESC, artist_key LIMIT 50) s
   LEFT JOIN documents d ON 'mbid:p' || doc_id = artist_key""",
     ["signals"],
 )
 
+define(
+    "live_rows",
+    """
+  SELECT CAST(e.event_id AS VARCHAR) AS event_id, e.event_name, e.event_date, e.local_time,
+    e.status, CASE WHEN e.tm_genre <> '2-HIGH' THEN e.venue ELSE '1 Main St' END AS venue, e.city,
+    e.min_price, e.max_price, e.currency, CAST(NULL AS VARCHAR) AS ticket_url,
+    coalesce(s.key, 'name:part ' || p_partkey) AS artist_key,
+    coalesce(s.name, performer_name) AS artist_name, b.billing_order = 0 AS is_headliner,
+    s.breakout_score, s.size_band, s.lastfm_listeners, s.genres, s.listeners_7d_growth_pct
+  FROM show_events e JOIN bills b USING (event_id) JOIN part ON attraction_id = 'p' || p_partkey
+  LEFT JOIN (SELECT *, 'mbid:P' || artist_key[7:] AS key FROM signals) s
+    ON s.artist_key = 'mbid:p' || p_partkey AND p_type <> 'PROMO'
+  WHERE e.status <> 'canceled' AND e.tm_genre <> '5-LOW'""",
+    ["show_events", "bills", "signals"],
+)
+define(
+    "live_bills",
+    """
+  SELECT CAST(event_id AS VARCHAR) AS event_id, list(performer_name ORDER BY billing_order) AS bill
+  FROM bills GROUP BY 1""",
+    ["bills"],
+)
+define(
+    "show_lists",
+    """
+  SELECT *, row_number() OVER (PARTITION BY artist_key ORDER BY event_date, event_id) AS place,
+    count(*) OVER (PARTITION BY artist_key) AS n FROM shows""",
+    ["shows"],
+)
+
 BIO = r"regexp_replace(coalesce(bio_summary, ''), '^\s+|\s+$', '', 'g')"
 PERCENT = "coalesce(printf('%+.1f%%', round_even(round(round({c}, 9) * 10, 6), 0) / 10), 'n/a')"
 
@@ -527,6 +560,19 @@ ORACLES = {
       JOIN signals s ON s.artist_key = 'mbid:p' || p_partkey
       WHERE e.status <> 'canceled' AND e.tm_genre <> '5-LOW'""",
     ),
+    "live_search": query(
+        ["live_rows", "live_bills"],
+        """
+      SELECT * EXCLUDE (bill), CASE WHEN is_headliner THEN 'headliner' ELSE 'support' END AS role,
+        bill[1] AS headliner, array_to_string(bill[1:6], '|') AS lineup,
+        CAST(len(bill) AS INTEGER) AS lineup_size, min_price IS NOT NULL AS price_known
+      FROM (SELECT *, count(*) OVER () AS total_matches, count(min_price) OVER () AS priced_matches
+            FROM live_rows
+            WHERE event_date BETWEEN DATE '2001-05-20' AND DATE '2001-05-20' + 45
+              AND (min_price <= 20 OR min_price IS NULL)
+            ORDER BY breakout_score DESC NULLS LAST, event_date, event_id, artist_key LIMIT 50)
+      LEFT JOIN live_bills USING (event_id)""",
+    ),
     "user_seeds": query(["seeds"], "SELECT * REPLACE (round(weight, 9) AS weight) FROM seeds"),
     "user_library": query(
         ["library"], "SELECT * REPLACE (round(familiarity, 9) AS familiarity) FROM library"
@@ -610,23 +656,25 @@ ORACLES = {
     ),
     "pool_stale": "SELECT DATE '2001-05-01' AS built, true AS stale FROM (SELECT count(*) FROM part)",
     "brief_facts": query(
-        ["facts", "shows"],
-        """SELECT f.artist_key, f.name, f.breakout_score, f.bio_summary, h.shows
+        ["facts", "show_lists"],
+        """SELECT f.artist_key, f.name, f.breakout_score, f.breakout_rank, f.bio_summary, h.shows, h.n_shows
            FROM facts f LEFT JOIN (SELECT artist_key, string_agg(event_date || ' ' || event_id, '|'
-             ORDER BY event_date, event_id) AS shows FROM shows GROUP BY 1) h USING (artist_key)""",
+             ORDER BY event_date, event_id) FILTER (place <= 5) AS shows, max(n) AS n_shows
+             FROM show_lists GROUP BY 1) h USING (artist_key)""",
     ),
     "brief_prompts": query(
-        ["facts", "shows"],
+        ["facts", "show_lists"],
         f"""
       SELECT f.artist_key, f.name, f.as_of_date,
         array_to_string([
           'Write a brief.', 'FACTS', 'Artist: ' || f.name,
           'Listeners: ' || format('{{:,}}', f.lastfm_listeners) || ', size band ' || f.size_band,
-          'Score: ' || f.breakout_score || ' of 100',
+          'Score: ' || f.breakout_score || ' of 100, rank ' || f.breakout_rank,
           'Listener growth, 7 days: ' || {PERCENT.format(c="f.listeners_7d_growth_pct")}
-            || ', measured over ' || growth_window_days || CASE WHEN f.is_provisional
+            || ', new listeners ' || format('{{:,}}', f.new_listeners_7d) || ', measured over ' || growth_window_days || CASE WHEN f.is_provisional
             THEN ' days (PROVISIONAL: under a week of history)' ELSE ' days' END,
           'Listener growth, 14 days: ' || {PERCENT.format(c="f.listeners_14d_growth_pct")},
+          'Play growth, 7 days: ' || {PERCENT.format(c="f.plays_7d_growth_pct")},
           'Charts today: ' || coalesce(nullif(array_to_string(chart_countries, ', '), ''), 'none'),
           'New charts in 14 days: ' || new_country_charts_14d,
           'Tags: ' || array_to_string(tags, ', '),
@@ -639,8 +687,9 @@ ORACLES = {
       FROM facts f LEFT JOIN (
         SELECT artist_key, string_agg('- ' || event_date || ': ' || venue || ', ' || city ||
           coalesce(' (from ' || printf('%.0f', round_even(round(min_price, 9), 0)) || ' ' || currency || ')', ''),
-          chr(10) ORDER BY event_date, event_id) AS lines
-        FROM shows GROUP BY 1) h USING (artist_key)""",
+          chr(10) ORDER BY event_date, event_id) FILTER (place <= 100) ||
+          CASE WHEN max(n) > 100 THEN chr(10) || '- and ' || (max(n) - 100) || ' more' ELSE '' END AS lines
+        FROM show_lists GROUP BY 1) h USING (artist_key)""",
     ),
     "text_sections": query(["briefs"], "SELECT * FROM briefs"),
     "brief_retry_merge": query(["retried"], parsed("retried")),

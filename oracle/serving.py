@@ -53,6 +53,19 @@ STATUS = """CASE WHEN found IS NULL THEN 'unknown'
   WHEN TIMESTAMP '1998-01-01' < sale_start THEN 'not on sale yet'
   WHEN TIMESTAMP '1998-01-01' < sale_end THEN 'off sale' ELSE 'sales closed' END"""
 
+define(
+    "show_status",
+    """
+  SELECT * FROM show_events LEFT JOIN (
+    SELECT o_orderkey, true AS found,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN 'postponed' WHEN o_orderstatus = 'O'
+        THEN 'onsale' WHEN o_orderstatus = 'F' THEN 'offsale' ELSE 'canceled' END AS code,
+      o_orderdate - INTERVAL 100 DAYS AS sale_start, o_orderdate - INTERVAL 1 DAY AS sale_end,
+      CASE WHEN o_totalprice > 200000 THEN CAST(o_orderdate AS DATE) END AS new_date
+    FROM orders WHERE o_orderpriority <> '2-HIGH') ON o_orderkey = event_id""",
+    ["show_events"],
+)
+
 ORACLES = {
     "top_risers": query(
         ["user_signals"],
@@ -161,8 +174,22 @@ ORACLES = {
           AS weekend_from,
         CAST(o_orderdate AS DATE) + CAST(7 - isodow(o_orderdate) AS INTEGER) AS weekend_to
       FROM orders""",
+    "ticket_recount": query(
+        ["show_status"],
+        f"""
+      SELECT city, count(*) FILTER (NOT gone) AS count, count(*) FILTER (gone) AS canceled,
+        'off sale does not confirm sold out' || CASE WHEN count(*) FILTER (gone) > 0
+          THEN '|' || count(*) FILTER (gone) || ' canceled since and left out' ELSE '' END AS notes
+      FROM (SELECT city, ({STATUS}) = 'canceled' AS gone FROM show_status) GROUP BY city""",
+    ),
+    "search_window": query(
+        ["signals"],
+        """SELECT max(as_of_date) AS as_of_date, DATE '2001-05-20' AS first_day,
+             DATE '2001-05-20' + 90 AS last_day,
+             'shows are known up to ' || (max(as_of_date) + 90) AS note FROM signals""",
+    ),
     "ticket_status": query(
-        ["show_events"],
+        ["show_status"],
         f"""
       SELECT event_id, event_date, city, {STATUS} AS ticket_status,
         CASE WHEN found IS NULL THEN 'Not listed any more (removed or canceled?).'
@@ -172,13 +199,7 @@ ORACLES = {
             THEN 'Public sale starts ' || CAST(sale_start AS DATE) || '.'
           WHEN ({STATUS}) = 'off sale'
             THEN 'Not selling in its sale window: often sold out, unconfirmed.' END AS ticket_note
-      FROM show_events LEFT JOIN (
-        SELECT o_orderkey, true AS found,
-          CASE WHEN o_orderpriority = '1-URGENT' THEN 'postponed' WHEN o_orderstatus = 'O'
-            THEN 'onsale' WHEN o_orderstatus = 'F' THEN 'offsale' ELSE 'canceled' END AS code,
-          o_orderdate - INTERVAL 100 DAYS AS sale_start, o_orderdate - INTERVAL 1 DAY AS sale_end,
-          CASE WHEN o_totalprice > 200000 THEN CAST(o_orderdate AS DATE) END AS new_date
-        FROM orders WHERE o_orderpriority <> '2-HIGH') ON o_orderkey = event_id
+      FROM show_status
       WHERE ({STATUS}) <> 'canceled'""",
     ),
     "entity_profile": "",

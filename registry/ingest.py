@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upswell import views
@@ -92,6 +93,69 @@ def typed_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def landed_lines(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Lines of all four contracts, written as text and read back. Some are cut off, lack a needed
+    field or hold text where a number belongs."""
+    listeners = F.struct(F.col("p_size").cast("string").alias("listeners"))
+    artist = F.struct(
+        F.concat(F.lit("mbid:p"), "p_partkey").alias("artist_key"),
+        F.struct(F.when(F.col("p_size") % 10 != 1, F.col("p_name")).alias("name"), listeners.alias("stats")).alias("payload"),
+    )
+    country = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("country")
+    customer = F.concat(F.lit("customer "), "o_custkey").alias("name")
+    entry = F.struct(country, F.col("o_orderkey").alias("rank"), customer, F.col("o_custkey").alias("listeners"))
+    edge = F.struct(
+        F.concat(F.lit("p"), "l_partkey").alias("from_key"),
+        F.when(F.col("l_returnflag") != "R", F.concat(F.lit("s"), "l_suppkey")).alias("to_key"),
+        F.col("l_discount").cast("double").alias("match"),
+    )
+
+    def event(least: Column) -> Column:
+        id_ = F.when(F.col("user_id") % 3 != 0, F.col("event_id").cast("string")).alias("id")
+        prices = F.array(F.struct(least.alias("min"))).alias("priceRanges")
+        return F.to_json(F.struct(F.struct(id_, F.col("event_type").alias("name"), prices).alias("payload")))
+
+    lines = {
+        "artist": ("part", F.when(F.col("p_size") % 10 == 0, F.concat(F.lit("{"), "p_name")).otherwise(F.to_json(artist))),
+        "chart": ("orders", F.when(
+            F.col("o_orderkey") % 7 == 0, F.to_json(F.struct(country, F.lit("n/a").alias("rank"), customer))
+        ).otherwise(F.to_json(entry))),
+        "edge": ("lineitem", F.to_json(edge)),
+        "event": ("events", F.when(F.col("user_id") % 5 == 0, event(F.lit("free"))).otherwise(event(F.col("value")))),
+    }
+    root = scratch_path(spark, "landing")
+    for contract, (table, value) in lines.items():
+        views.table(spark, folder, table).select(value.alias("value")).write.text(f"{root}/{contract}")
+    return {contract: spark.read.text(f"{root}/{contract}") for contract in lines}
+
+
+def landing_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines of each kind keep their contract, and what is wrong with the others."""
+    counts = [landing.contract_counts(lines, kind) for kind, lines in landed_lines(spark, folder).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def landing_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Chart lines that keep their contract, typed."""
+    kept, _ = landing.split_landing(landed_lines(spark, folder)["chart"], "chart")
+    return kept.select("country", "rank", "name", "listeners")
+
+
+def dataset_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """One dataset loaded twice, first from customers, then from suppliers: the second replaces
+    the first whole, other fields and all."""
+    root = scratch_path(spark, "landing")
+    for table, name, nation in (("customer", "c_name", "c_nationkey"), ("supplier", "s_name", "s_nationkey")):
+        fields = F.struct(F.col(name).alias("name"), F.col(nation).alias("nation"), F.lit(table).alias("source"))
+        views.table(spark, folder, table).select(F.to_json(fields)).write.text(f"{root}/{table}.jsonl")
+        landing.replace_pool(spark, f"{root}/{table}.jsonl", f"{root}/pool")
+    return spark.read.parquet(f"{root}/pool").select(
+        variants.at("raw", "$.name").alias("name"),
+        variants.at("raw", "$.nation", "bigint").alias("nation"),
+        variants.at("raw", "$.source").alias("source"),
+    )
+
+
 def days_to_load(spark: SparkSession, folder: str) -> DataFrame:
     """Order days as landed, shipping days as loaded."""
     landed = views.table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
@@ -400,6 +464,9 @@ QUERIES = {
     "day_replace": day_replace,
     "stream_ingest": stream_ingest,
     "typed_landing": typed_landing,
+    "landing_contracts": landing_contracts,
+    "landing_kept": landing_kept,
+    "dataset_replace": dataset_replace,
     "days_to_load": days_to_load,
     "variant_extract": variant_extract,
     "variant_array_shapes": variant_array_shapes,

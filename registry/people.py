@@ -4,10 +4,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.ingest import event_lines
-from registry.serving import shows_table, today
+from registry.serving import joined, shows_table, today
 from upswell import views
 from upswell.functions import text
 from upswell.operators import fuzzy, latest
+from upswell.operators.robust import with_ranks
 from upswell.plans import briefs, pool, resolve, shows, signals, taste
 from upswell.sources import export, landing
 from upswell.staging import staged
@@ -142,8 +143,9 @@ def possible_alias(spark: SparkSession, folder: str) -> DataFrame:
     return signals.possible_aliases(views.user_profile(spark, folder))
 
 
-def live_source(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested ticketing records of a second source: parsed, matched, shaped like the first."""
+def live_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nested ticketing records of a second source, parsed, matched and shaped like the first:
+    its shows, its bills and the signals its acts are found in."""
     lines = event_lines(spark, folder)
     events = landing.bookable(landing.parse_events(lines))
     bill = landing.parse_bills(lines)
@@ -157,14 +159,15 @@ def live_source(spark: SparkSession, folder: str) -> DataFrame:
     )
     acts = resolve.performers_of(bill, order).withColumn("performer_mbid", F.col("attraction_id"))
     found = resolve.match_performers(acts, resolve.pool_as_artists(tracked))
-    return shows.live_shows(
-        events.select("event_id", "event_date", "city", "min_price", "status"),
-        bill,
-        resolve.trusted_bill(bill, found),
-        views.catalog_signals(spark, folder).withColumn(
-            "artist_key", F.concat(F.lit("mbid:P"), F.substring("artist_key", 7, 20))
-        ),
-    ).select(
+    tracked_signals = views.catalog_signals(spark, folder).withColumn(
+        "artist_key", F.concat(F.lit("mbid:P"), F.substring("artist_key", 7, 20))
+    )
+    listed = shows.live_shows(events, bill, resolve.trusted_bill(bill, found), tracked_signals)
+    return listed, bill, tracked_signals
+
+
+def live_source(spark: SparkSession, folder: str) -> DataFrame:
+    return live_tables(spark, folder)[0].select(
         F.col("event_id").cast("bigint").alias("event_id"),
         "event_date",
         "city",
@@ -175,6 +178,14 @@ def live_source(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def live_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The same show search, run over the second source."""
+    out = shows.show_search(
+        *live_tables(spark, folder), today(), max_price=20.0, days_ahead=45, limit=50
+    )
+    return joined(out, "lineup")
+
+
 # --- taste ---------------------------------------------------------------------------------
 
 
@@ -330,9 +341,18 @@ def brief_profile(spark: SparkSession, folder: str) -> DataFrame:
     return docs
 
 
-def facts(spark: SparkSession, folder: str) -> DataFrame:
+def facts(spark: SparkSession, folder: str, **options) -> DataFrame:
+    ranked = with_ranks(
+        views.catalog_signals(spark, folder), "breakout_score", "breakout_rank", "percentile"
+    )
+    signals = ranked.withColumns(
+        {
+            "new_listeners_7d": F.expr("lastfm_listeners div 50"),
+            "plays_7d_growth_pct": F.col("listeners_14d_growth_pct") - 20,
+        }
+    )
     return briefs.brief_facts(
-        views.catalog_signals(spark, folder), brief_profile(spark, folder), shows_table(spark, folder)
+        signals, brief_profile(spark, folder), shows_table(spark, folder), **options
     )
 
 
@@ -340,9 +360,10 @@ def brief_facts(spark: SparkSession, folder: str) -> DataFrame:
     dated = F.transform(
         "shows", lambda s: F.concat(s["event_date"].cast("string"), F.lit(" "), s["event_id"])
     )
-    return facts(spark, folder).select(
-        "artist_key", "name", "breakout_score", "bio_summary", F.array_join(dated, "|").alias("shows")
-    )
+    return facts(spark, folder, first_shows=5).select(
+        "artist_key", "name", "breakout_score", "breakout_rank", "bio_summary",
+        F.array_join(dated, "|").alias("shows"), "n_shows",
+    )
 
 
 def brief_prompts(spark: SparkSession, folder: str) -> DataFrame:
@@ -403,6 +424,7 @@ QUERIES = {
     "closest_words": closest_words,
     "possible_alias": possible_alias,
     "live_source": live_source,
+    "live_search": live_search,
     "user_seeds": user_seeds,
     "user_library": user_library,
     "user_tags": user_tags,

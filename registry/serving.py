@@ -132,7 +132,7 @@ def weekend_shows(spark: SparkSession, folder: str) -> DataFrame:
     return days.select("event_date", start.alias("weekend_from"), end.alias("weekend_to"))
 
 
-def ticket_status(spark: SparkSession, folder: str) -> DataFrame:
+def ticket_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Column]:
     """Orders as shows; about the half that line items mention have a status row."""
     status_rows = views.table(spark, folder, "orders").filter("o_orderpriority <> '2-HIGH'")
     day = F.col("o_orderdate").cast("timestamp")
@@ -148,7 +148,21 @@ def ticket_status(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("o_totalprice") > 200000, F.to_date("o_orderdate")).alias("new_date"),
     )
     events = views.order_events(spark, folder).select("event_id", "event_date", "city")
-    return shows.with_ticket_status(events, statuses, F.lit("1998-01-01").cast("timestamp"))
+    return events, statuses, F.lit("1998-01-01").cast("timestamp")
+
+
+def ticket_status(spark: SparkSession, folder: str) -> DataFrame:
+    return shows.with_ticket_status(*ticket_tables(spark, folder))
+
+
+def ticket_recount(spark: SparkSession, folder: str) -> DataFrame:
+    """Shows of each city that are still on, and how many were canceled since."""
+    return joined(shows.ticket_recount(*ticket_tables(spark, folder), by=["city"]), "notes")
+
+
+def search_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Five days after the newest data, 90 days ahead runs past what is known."""
+    return shows.search_window(views.catalog_signals(spark, folder), today(), 90)
 
 
 def part_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,6 +298,8 @@ QUERIES = {
     "shows_elsewhere": shows_elsewhere,
     "weekend_shows": weekend_shows,
     "ticket_status": ticket_status,
+    "ticket_recount": ticket_recount,
+    "search_window": search_window,
     "entity_profile": entity_profile,
     "quality_metrics": quality_metrics,
     "duplicate_keys": duplicate_keys,

@@ -210,3 +210,48 @@ def test_update_matched_takes_nulls_too(spark):
     fresh = spark.createDataFrame([(2, None), (3, "z")], "k int, v string")
     got = catalog.update_matched(target, fresh, "k", ["v"]).orderBy("k").collect()
     assert [tuple(r) for r in got] == [(1, "a", 1), (2, None, 2)]
+
+
+@pytest.mark.parametrize(
+    "contract, line, problem",
+    [
+        ("chart", '{"country": "CA", "rank": 1, "name": "A", "listeners": 5}', None),
+        ("chart", '{"country": "CA", "rank": 1, "name": "A", "beyond": [1]}', None),
+        ("chart", '{"country": "CA", "rank": "first", "name": "A"}', "wrong type"),
+        ("chart", '{"country": null, "rank": 1, "name": "A"}', "missing country"),
+        ("chart", '{"country": "CA", "rank": 1, "name"', "not JSON"),
+        ("chart", "", "not JSON"),
+        ("chart", None, "not JSON"),
+        ("edge", '{"from_key": "a", "match": 0.5}', "missing to_key"),
+        ("edge", '{"from_key": "a", "to_key": "b", "match": {}}', "wrong type"),
+        ("artist", '{"artist_key": "a", "payload": {"name": "A", "stats": {"listeners": "7"}}}', None),
+        ("artist", '{"artist_key": "a", "payload": {}}', "missing payload.name"),
+        ("artist", '{"artist_key": "a"}', "missing payload.name"),
+        ("event", '{"payload": {"id": "e", "priceRanges": [{"min": 1.5}]}}', None),
+        ("event", '{"payload": {"id": "e", "priceRanges": [{"min": "free"}]}}', "wrong type"),
+    ],
+)
+def test_landing_contract(spark, contract, line, problem):
+    lines = spark.createDataFrame([(line, 1)], "value string, problem_of int")
+    assert landing.against_contract(lines, contract).first().problem == problem
+    kept, quarantine = landing.split_landing(lines, contract)
+    assert (kept.count(), quarantine.count()) == ((1, 0) if problem is None else (0, 1))
+    assert [r.asDict() for r in landing.contract_counts(lines, contract).collect()] == [
+        {"problem": problem, "lines": 1, "contract": contract}
+    ]
+
+
+def test_quarantine_keeps_the_line(spark):
+    lines = spark.createDataFrame([('{"from_key": "a"}', "f1"), ('{"from_key": "a", "to_key": "b"}', "f2")], "value string, file string")
+    kept, quarantine = landing.split_landing(lines, "edge")
+    assert [tuple(r) for r in quarantine.collect()] == [('{"from_key": "a"}', "f1", "missing to_key")]
+    assert kept.columns == ["from_key", "to_key", "to_name", "match"]
+    assert landing.contract_counts(lines.limit(0), "edge").count() == 0
+
+
+def test_dataset_is_replaced_whole(spark, tmp_path):
+    for name, lines in (("one", ['{"a": 1}', '{"a": 2}']), ("two", ['{"b": "x"}'])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines))
+        landing.replace_pool(spark, str(tmp_path / f"{name}.jsonl"), str(tmp_path / "pool"))
+    rows = spark.read.parquet(str(tmp_path / "pool")).select(variants.at("raw", "$.b").alias("b"), variants.at("raw", "$.a").alias("a"))
+    assert [tuple(r) for r in rows.collect()] == [("x", None)]

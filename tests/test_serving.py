@@ -182,6 +182,29 @@ def test_ticket_notes(spark):
     assert got["e4"].ticket_status == "unknown" and got["e4"].ticket_note
 
 
+def test_recount_after_cancellations(spark):
+    listed = spark.createDataFrame([("e1", "X"), ("e2", "X"), ("e3", "Y")], "event_id string, city string")
+    statuses = spark.createDataFrame(
+        [("e1", "canceled", None, None, None), ("e3", "onsale", None, None, None)],
+        "event_id string, status_code string, sale_start timestamp, sale_end timestamp, new_date date",
+    )
+    whole = shows.ticket_recount(listed, statuses, F.lit(NOW)).first()
+    assert (whole["count"], whole.canceled, whole.notes[1:]) == (2, 1, ["1 canceled since and left out"])
+    assert whole["count"] == shows.with_ticket_status(listed, statuses, F.lit(NOW)).count()
+    cities = {r.city: r for r in shows.ticket_recount(listed, statuses, F.lit(NOW), by=["city"]).collect()}
+    assert (cities["X"]["count"], cities["X"].canceled) == (1, 1)
+    assert (cities["Y"].canceled, len(cities["Y"].notes)) == (0, 1)
+    none = shows.ticket_recount(listed.limit(0), statuses, F.lit(NOW)).first()
+    assert (none["count"], none.canceled) == (0, 0)
+
+
+def test_window_past_what_is_known(signals):
+    late = shows.search_window(signals, F.lit(TODAY + dt.timedelta(3)), 90).first()
+    assert late.first_day == TODAY + dt.timedelta(3) and late.last_day == TODAY + dt.timedelta(93)
+    assert late.note.endswith("2024-07-30")
+    assert shows.search_window(signals, F.lit(TODAY), 90).first().note is None
+
+
 @pytest.mark.parametrize("day, window", [(1, (3, 5)), (3, (3, 5)), (4, (4, 5)), (5, (5, 5)), (6, (10, 12))])
 def test_weekend(spark, day, window):
     start, end = numbers.weekend_window(F.lit(dt.date(2024, 5, day)))
@@ -322,6 +345,23 @@ def test_prompt_with_nothing_known(spark):
         F.expr("array(named_struct('event_date', DATE'2024-06-01', 'event_id', 'e', 'venue', 'V', 'city', 'C', 'min_price', 24.5D, 'currency', 'CAD'))"),
     )
     assert "- 2024-06-01: V, C (from 24 CAD)" in briefs.prompts(with_show).first().prompt
+    assert "rank n/a" in prompt and "new listeners n/a" in prompt and "Play growth, 7 days: n/a" in prompt
+    more = with_show.withColumns(
+        {"n_shows": F.lit(4).cast("bigint"), "breakout_rank": F.lit(3), "new_listeners_7d": F.lit(1234).cast("bigint"),
+         "plays_7d_growth_pct": F.lit(-2.25)}
+    )
+    prompt = briefs.prompts(more).first().prompt
+    for line in ("of 100, rank 3", "new listeners 1,234,", "Play growth, 7 days: -2.2%", "(from 24 CAD)\n- and 3 more"):
+        assert line in prompt
+
+
+def test_brief_lists_first_shows_and_counts_all(spark, signals, show_rows):
+    profile_rows = spark.createDataFrame([("a", "bio", ["x"])], "artist_key string, bio_summary string, similar_names array<string>")
+    got = {r.artist_key: r for r in briefs.brief_facts(signals, profile_rows, show_rows[0], first_shows=2).collect()}
+    every = show_rows[0].filter("artist_key = 'a'").orderBy("event_date", "event_id").collect()
+    assert len(every) > 2 and got["a"].n_shows == len(every)
+    assert [s.event_id for s in got["a"].shows] == [r.event_id for r in every[:2]]
+    assert got["b"].shows is None and got["b"].n_shows is None
 
 
 def test_latest_brief_needs_text(spark):

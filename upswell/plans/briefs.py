@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upswell import settings
@@ -26,23 +26,30 @@ def brief_facts(
     shows: DataFrame,
     top_n: int = settings.BRIEF_TOP_N,
     exclude_bands: Sequence[str] = (settings.SUPERSTAR_BAND,),
+    first_shows: int = settings.BRIEF_SHOWS,
 ) -> DataFrame:
-    """The top scored entities with their profile texts and coming shows in date order. Only
-    the shows of those ``top_n`` entities are gathered."""
+    """The top scored entities with their profile texts, the first ``first_shows`` of their coming
+    shows in date order and the number of all. Only those shows are ever gathered."""
     scored = signals.filter("breakout_score IS NOT NULL AND possible_alias_of IS NULL")
     if exclude_bands:
         scored = scored.filter(~F.col("size_band").isin(*exclude_bands))
     top = scored.orderBy(F.col("breakout_score").desc(), "artist_key").limit(top_n)
-    listed = (
+    theirs = Window.partitionBy("artist_key")
+    place = F.row_number().over(theirs.orderBy("event_date", "event_id"))
+    # The count and the cut share the rows' one partitioning by entity.
+    leading = (
         shows.join(top.select("artist_key"), "artist_key", "left_semi")
-        .groupBy("artist_key")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct("event_date", "event_id", "venue", "city", "min_price", "currency")
-                )
-            ).alias("shows")
-        )
+        .withColumn("_place", place)
+        .withColumn("n_shows", F.count("*").over(theirs))
+        .filter(F.col("_place") <= first_shows)
+    )
+    listed = leading.groupBy("artist_key").agg(
+        F.array_sort(
+            F.collect_list(
+                F.struct("event_date", "event_id", "venue", "city", "min_price", "currency")
+            )
+        ).alias("shows"),
+        F.max("n_shows").alias("n_shows"),
     )
     texts = profile.select("artist_key", "bio_summary", "similar_names")
     return top.join(texts, "artist_key", "left").join(listed, "artist_key", "left")
@@ -71,7 +78,12 @@ def show_line(show: Column) -> Column:
 
 
 def prompts(facts: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
-    """One prompt per entity, holding every fact the brief may use."""
+    """One prompt per entity, holding every fact the brief may use. A fact whose column is
+    missing reads as one that is not known."""
+
+    def known(column: str, kind: str) -> Column:
+        return F.col(column) if column in facts.columns else F.lit(None).cast(kind)
+
     provisional = F.format_string(
         "%s days (PROVISIONAL: under a week of history)", F.col("growth_window_days").cast("string")
     )
@@ -85,10 +97,17 @@ def prompts(facts: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
             F.lit(", size band "),
             F.coalesce("size_band", F.lit("n/a")),
         ),
-        F.concat(F.lit("Score: "), F.col("breakout_score").cast("string"), F.lit(" of 100")),
+        F.concat(
+            F.lit("Score: "),
+            F.col("breakout_score").cast("string"),
+            F.lit(" of 100, rank "),
+            F.coalesce(known("breakout_rank", "int").cast("string"), F.lit("n/a")),
+        ),
         F.concat(
             F.lit("Listener growth, 7 days: "),
             text.signed_percent(F.col("listeners_7d_growth_pct")),
+            F.lit(", new listeners "),
+            text.grouped_number(known("new_listeners_7d", "bigint")),
             F.lit(", measured over "),
             F.when(F.col("is_provisional"), provisional).otherwise(days),
         ),
@@ -96,6 +115,10 @@ def prompts(facts: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
             F.lit("Listener growth, 14 days: "),
             text.signed_percent(F.col("listeners_14d_growth_pct")),
         ),
+        F.concat(
+            F.lit("Play growth, 7 days: "),
+            text.signed_percent(known("plays_7d_growth_pct", "double")),
+        ),
         F.concat(F.lit("Charts today: "), listed_or(F.col("chart_countries"), "none")),
         F.concat(
             F.lit("New charts in 14 days: "),
@@ -110,6 +133,10 @@ def prompts(facts: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
                 F.nullif(F.array_join(F.transform("shows", show_line), "\n"), F.lit("")),
                 F.lit("- none found"),
             ),
+            F.when(
+                known("n_shows", "bigint") > F.size("shows"),
+                F.format_string("\n- and %d more", known("n_shows", "bigint") - F.size("shows")),
+            ).otherwise(""),
         ),
     ]
     body = F.concat_ws("\n", F.lit(instructions), F.lit("FACTS"), *lines)

@@ -80,6 +80,7 @@ RELOAD_RECENT_DAYS = 2
 # --- fixed values: brief texts ---
 MAX_BIO_CHARS = 900
 BRIEF_TOP_N = 50
+BRIEF_SHOWS = 100
 NO_LABEL = "No label mentioned in the Last.fm bio"
 
 # --- fixed values: tracked chart countries, (chart name, ISO code, nationality word) ---

@@ -24,6 +24,14 @@ EVENT_ROW = """source STRING, snapshot_date STRING, fetched_at STRING, city STRI
   dates STRUCT<start STRUCT<localDate STRING, localTime STRING>, status STRUCT<code STRING>>,
   priceRanges ARRAY<STRUCT<min DOUBLE, max DOUBLE, currency STRING>>>"""
 
+# The declared types of a line and the fields it is of no use without.
+CONTRACTS = {
+    "artist": (ARTIST_ROW, ("artist_key", "payload.name")),
+    "chart": (CHART_ROW, ("country", "rank", "name")),
+    "edge": (SIMILAR_ROW, ("from_key", "to_key")),
+    "event": (EVENT_ROW, ("payload.id",)),
+}
+
 
 def write_landing(df: DataFrame, root: str, dataset: str, day: str = "snapshot_date") -> None:
     """One JSON line per row under its day's folder. Days present are replaced, others kept."""
@@ -134,6 +142,35 @@ def typed(lines: DataFrame, contract: str, text: str = "value") -> DataFrame:
     return lines.select(F.from_json(text, contract).alias("row")).select("row.*")
 
 
+def against_contract(lines: DataFrame, contract: str, text: str = "value") -> DataFrame:
+    """Each line, typed as ``row``, and its ``problem`` with one of the CONTRACTS: text that is not
+    JSON, a value of another type, or the first needed field that is missing; NULL for a line that
+    keeps the contract. Fields beyond the contract are no problem, blank lines are not JSON."""
+    fields, needed = CONTRACTS[contract]
+    read = F.from_json(text, f"{fields}, _broken STRING", {"columnNameOfCorruptRecord": "_broken"})
+    missing = [F.when(F.col(f"row.{f}").isNull(), F.lit(f"missing {f}")) for f in needed]
+    problem = (
+        F.when(F.try_parse_json(text).isNull(), F.lit("not JSON"))
+        .when(F.col("row._broken").isNotNull(), F.lit("wrong type"))
+        .otherwise(F.coalesce(*missing))
+    )
+    return lines.withColumn("row", read).withColumn("problem", problem)
+
+
+def split_landing(lines: DataFrame, contract: str, text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """The typed rows that keep a contract, and the quarantine: other lines as they came, each with
+    its problem. No line is in both or in neither."""
+    checked = against_contract(lines, contract, text)
+    kept = checked.filter("problem IS NULL").select("row.*").drop("_broken")
+    return kept, checked.filter("problem IS NOT NULL").drop("row")
+
+
+def contract_counts(lines: DataFrame, contract: str, text: str = "value") -> DataFrame:
+    """Lines by problem, those without one included: ``contract``, ``problem``, ``lines``."""
+    checked = against_contract(lines, contract, text)
+    return checked.groupBy("problem").agg(F.count("*").alias("lines")).withColumn("contract", F.lit(contract))
+
+
 def parse_artists(bronze: DataFrame) -> DataFrame:
     """Artist lines, typed. Persist the result: both the daily and the profile table read it."""
     return bronze.select(
