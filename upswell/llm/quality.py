@@ -93,7 +93,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     np.add.at(own, (np.arange(SLOTS)[:, None], at), sign)
     own /= np.sqrt(ENTRIES)
     near = np.zeros((SLOTS, DIMS))
-    rows = sums.toPandas()
+    rows = sums.toArrow().to_pandas()
     if len(rows):
         near[rows["slot"].to_numpy()] = rows[[f"d{d}" for d in range(DIMS)]].to_numpy(float)
         near -= np.outer(np.where(np.isin(np.arange(SLOTS), rows["slot"]), 1.0, 0.0) * np.abs(near).sum(axis=1), near.sum(axis=0) / max(1.0, np.abs(near).sum()))
@@ -198,14 +198,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         x = pooled(batch.column("text"), shared.value)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("quality"), arrays.list_array(x.ravel(), np.full(len(x), x.shape[1]), pa.float32())],
+            [batch.column("doc_id"), batch.column("quality"), pa.array([row.tobytes() for row in x], pa.binary())],
             names=["doc_id", "quality", "x"],
         )
 
-    found = in_batches(joined, features, "doc_id long, quality int, x array<float>").toPandas()
-    found = found.sort_values(["doc_id", "quality"], kind="stable")
-    x = np.stack(found["x"].to_list()) if len(found) else np.zeros((0, 4 * DIMS + 4), np.float32)
-    return trained(x, found["quality"].to_numpy(np.int64), vectors)
+    # Arrow batches of packed floats: rows of lists would be many times as large in the driver.
+    found = in_batches(joined, features, "doc_id long, quality int, x binary").toArrow()
+    found = found.sort_by([(c, "ascending") for c in ("doc_id", "quality", "x")])
+    x = np.frombuffer(b"".join(found["x"].to_pylist()), np.float32).reshape(-1, 4 * DIMS + 4)
+    return trained(x, found["quality"].to_numpy().astype(np.int64), vectors)
 
 
 def scored(docs: DataFrame, model: Model, score: str = "quality_score", kept: str = "quality_kept") -> DataFrame:
