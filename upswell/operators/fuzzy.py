@@ -1,20 +1,21 @@
 """Name similarity at scale: token-sorted likeness, 0-100, twice the longest common subsequence
 over the two lengths.
 
-Candidates come from an equi-join on letter groups (three letters, two for short names), never
-from comparing all with all. Only the rarest groups of each name are joined on. Two names that
-reach the cutoff can miss at most ``lost_share`` x length of each other's groups, so the rarest
-group they share is among the first that many plus one of both: nothing is missed. Pairs whose
-letter counts or lengths already differ by too much are dropped inside the join."""
+Names are dealt into blocks, by class of length where a cutoff tells which lengths can meet, and a
+task compares one block with another. Two names have at most as many letters in order in common as
+they have letters in common, so a table of letter counts settles nearly all pairs, a few numpy steps
+for millions of them; only what is left is aligned, many pairs in lockstep, one machine word each.
+Nothing above the cutoff is missed, and a task holds two blocks however many names there are."""
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -98,14 +99,6 @@ def sorted_tokens(form: Column) -> Column:
     return F.array_join(F.array_sort(F.split(form, " ")), " ")
 
 
-def letter_groups(text: Column, q: int) -> Column:
-    groups = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(text) - q + 1, F.lit(1))),
-        lambda i: F.substring(text, i, F.lit(q)),
-    )
-    return F.array_distinct(groups)
-
-
 def lost_share(q: int, cutoff: float) -> float:
     """Most ``q``-letter groups a name can miss in a partner, as a share of its length. Deleting
     a letter breaks up to q groups and inserting one q - 1; the partner may be shorter by the
@@ -127,195 +120,261 @@ def shortest_text(q: int, cutoff: float) -> int:
     return enough
 
 
-BAG = 16  # letters are counted in this many bins by code
-
-
-def rarest_groups(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float) -> DataFrame:
-    """Each text with its rarest letter groups, enough to meet any partner."""
-    keep = (F.floor(F.length("text") * lost_share(q, cutoff) + 1e-9) + 1).cast("int")
-    return (
-        texts.select("text", F.explode(letter_groups(F.col("text"), q)).alias("part"))
-        .join(frequencies, "part", "left")
-        .groupBy("text")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "part"))
-            ).alias("_ordered")
-        )
-        .select("text", F.slice(F.col("_ordered.part"), F.lit(1), keep).alias("rare"))
-    )
-
-
-def join_side(texts: DataFrame, frequencies: DataFrame, q: int, cutoff: float, side: str) -> DataFrame:
-    """One row per text and rare group, with the text's length and letter counts."""
-    counts = [c.alias(f"{side}{i}") for i, c in enumerate(_letter_counts(F.col("text")))]
-    # Counted once per text, before its groups become rows.
-    counted = rarest_groups(texts, frequencies, q, cutoff).select(
-        F.col("text").alias(f"{side}_text"),
-        F.length("text").alias(f"{side}_length"),
-        F.col("rare").alias(f"{side}_rare"),
-        *counts,
-    )
-    return spread(counted, f"{side}_text").select("*", F.explode(f"{side}_rare").alias("part"))
-
-
-def candidates(left: DataFrame, right: DataFrame, q: int, cutoff: float) -> DataFrame:
-    """Pairs that share a rare group and pass the letter-count and edit-distance bounds, each
-    once."""
-    frequencies = (
-        right.select(F.explode(letter_groups(F.col("text"), q)).alias("part"))
-        .groupBy("part")
-        .agg(F.count("*").alias("names"))
-    )
-    a = join_side(left, frequencies, q, cutoff, "left")
-    b = join_side(right, frequencies, q, cutoff, "right")
-    total = F.col("left_length") + F.col("right_length")
-    slack = F.floor(total * (1 - cutoff / 100) + 1e-9).cast("int")
-    # Every letter one name has more of must be inserted or deleted.
-    apart = F.lit(0)
-    for i in range(BAG):
-        apart = apart + F.abs(F.col(f"left{i}") - F.col(f"right{i}"))
-    # A pair is kept at the first group it shares only, so nothing is there to deduplicate.
-    first = a["part"] == F.array_min(F.array_intersect("left_rare", "right_rare"))
-    # Substitutions make the edit distance no larger than the insert/delete distance, so it is a
-    # safe last test on this side of Python.
-    edits = F.expr(
-        f"levenshtein(left_text, right_text, CAST(floor((left_length + right_length) * "
-        f"{1 - cutoff / 100} + 1e-9) AS INT)) >= 0"
-    )
-    # One expression, so the cheap tests come first wherever Spark puts the condition.
-    meets = F.when(apart <= slack, F.when(first, edits).otherwise(False)).otherwise(False)
-    return a.join(b, (a["part"] == b["part"]) & meets.eqNullSafe(True)).select(
-        "left_text", "right_text"
-    )
+HOT_GROUP = 1 << 14  # texts a block holds on average; what exceeds it is dealt over several
+LONG = 64  # a block of longer texts holds fewer, as if each were cut into pieces of this length
+BINS = 24  # letters are counted in so many bins, the most frequent ones apart
+CELL = 1 << 18  # pairs of texts whose common letters are counted at once
+PAIRS, LETTERS = 1 << 16, 1 << 24  # pairs aligned at once, and letters of them
+MASKS = 1 << 22  # letter masks held at once
+FIRST_LOOK = 4  # times as many as asked for are aligned before the mark is set
+
+
+class _Spelled:
+    """Two lists of texts as numbers: letters by frequency, in rows filled up with a number that is
+    none, and how many letters fall in each bin."""
+
+    def __init__(self, left: list[str], right: list[str]) -> None:
+        flat = [np.frombuffer("".join(t).encode("utf-32-le", "surrogatepass"), "<u4") for t in (left, right)]
+        seen = np.bincount(np.concatenate([*flat, np.zeros(1, "<u4")]))
+        place = np.empty(len(seen), np.int64)
+        place[np.argsort(-seen, kind="stable")] = np.arange(len(seen))
+        self.alphabet = int((seen > 0).sum())
+        self.texts = (left, right)
+        self.sizes = tuple(np.array([len(t) for t in texts], np.int64) for texts in (left, right))
+        self.longest = max((int(s.max(initial=0)) for s in self.sizes), default=0)
+        self.narrow = 2 * self.longest < 256  # sums of counts then fit in a byte
+        self.letters, self.bags = [], []
+        for codes, sizes in zip(flat, self.sizes):
+            rows, ids = np.repeat(np.arange(len(sizes)), sizes), place[codes]
+            table = np.full((len(sizes), int(sizes.max(initial=0))), self.alphabet, np.uint16 if self.alphabet < 65535 else np.int32)
+            table[rows, np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = ids
+            counts = np.bincount(rows * BINS + ids % BINS, minlength=len(sizes) * BINS).reshape(-1, BINS)
+            self.letters.append(table)
+            self.bags.append(counts.astype(np.uint8 if self.narrow else np.int32))
+        self.columns = np.ascontiguousarray(self.bags[1].T)
+
+    def in_common(self, first: int, last: int) -> np.ndarray:
+        """Letters that texts ``first`` to ``last`` of the left share with every right text, whatever
+        their order: at least as many as they share in order."""
+        rows = self.bags[0][first:last]
+        total = np.minimum(rows[:, 0, None], self.columns[0][None, :])
+        step = np.empty_like(total)
+        for k in range(1, BINS):
+            np.minimum(rows[:, k, None], self.columns[k][None, :], out=step)
+            np.add(total, step, out=total)
+        return total
+
+    def aligned(self, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Longest common subsequences of left texts ``i`` and right texts ``j``; for a pair that
+        has less than ``least`` any smaller number may come."""
+        out = np.zeros(len(i), np.int64)
+        many = max(1, min(PAIRS, LETTERS // max(1, self.longest)))
+        for first in range(0, len(i), many):
+            part = slice(first, first + many)
+            out[part] = self._aligned(i[part], j[part], least[part])
+        return out
+
+    def _aligned(self, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), np.int64)
+        fits = self.sizes[0][i] <= 64
+        other = ~fits & (self.sizes[1][j] <= 64)
+        for side, some in ((0, np.flatnonzero(fits)), (1, np.flatnonzero(other))):
+            own, theirs = (i[some], j[some]) if side == 0 else (j[some], i[some])
+            some = some[order := np.argsort(own, kind="stable")]
+            own, theirs = own[order], theirs[order]
+            texts, at = np.unique(own, return_inverse=True)
+            group = at // max(1, MASKS // (self.alphabet + 1))
+            cuts = np.searchsorted(group, np.arange(int(group.max(initial=-1)) + 2))
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                low = at[x]
+                out[some[x:y]] = self._lockstep(side, texts[low : at[y - 1] + 1], at[x:y] - low, theirs[x:y], least[some[x:y]])
+        for k in np.flatnonzero(~fits & ~other):
+            out[k] = lcs_length(self.texts[0][i[k]], self.texts[1][j[k]])
+        return out
+
+    def _lockstep(self, side: int, texts: np.ndarray, at: np.ndarray, theirs: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """One machine word for each pair, a bit for each letter of the text of ``side``; a step takes
+        the next letter of every other text. Pairs that can no longer reach ``least`` drop out."""
+        width, sizes = self.alphabet + 1, self.sizes[1 - side][theirs]
+        masks = np.zeros((len(texts), width), np.uint64)
+        for k, letters in enumerate(self.letters[side][texts][:, :64].T):
+            masks[np.arange(len(texts)), letters] |= np.uint64(1 << k)
+        masks[:, -1] = 0
+        flat, base = masks.ravel(), at * width
+        steps = np.ascontiguousarray(self.letters[1 - side][theirs].T)
+        out, alive = np.zeros(len(at), np.int64), np.arange(len(at))
+        row = np.full(len(at), np.uint64(2**64 - 1))
+        for k in range(int(sizes.max(initial=0))):
+            hits = row & flat[base + steps[k]]
+            row = (row + hits) | (row - hits)
+            if k % 8 == 7:
+                far = np.bitwise_count(~row) + np.maximum(sizes - k - 1, 0) >= least
+                if far.sum() < 0.8 * len(far):
+                    alive, row, base, sizes, least, steps = alive[far], row[far], base[far], sizes[far], least[far], steps[:, far]
+        out[alive] = np.bitwise_count(~row)
+        return out
+
+
+def _pieces(texts: DataFrame, block: int) -> DataFrame:
+    """Blocks each class of length is dealt over."""
+    most = F.greatest(F.count("*"), F.sum(F.length("text")) / LONG)
+    return texts.groupBy("kind").agg(F.ceil(most / block).cast("int").alias("pieces"))
+
+
+def _cells(left: DataFrame, right: DataFrame, near: int, block: int = 1):
+    """Both with a ``kind``, grouped by cell: every block of the left meets every block of the right
+    whose kind differs by ``near`` at most. Blocks of the left hold ``block`` times fewer texts."""
+    own, other = _pieces(left, max(1, HOT_GROUP // block)), _pieces(right, HOT_GROUP)
+
+    def dealt(texts: DataFrame, mine: DataFrame, theirs: DataFrame, names: list[str]) -> DataFrame:
+        # A row for each length class: few, whatever the texts.
+        meets = theirs.select(F.explode(F.sequence(F.col("kind") - near, F.col("kind") + near)).alias("kind"), F.struct("kind", "pieces").alias("met"))
+        rows = texts.join(F.broadcast(mine), "kind").withColumn("piece", F.pmod(F.xxhash64("text"), "pieces").cast("int")).drop("pieces")
+        rows = rows.join(F.broadcast(meets), "kind").withColumn("met_piece", F.explode(F.sequence(F.lit(0), F.col("met.pieces") - 1)))
+        rows = rows.select(*[F.col(c).alias(n) for c, n in zip(("kind", "piece", "met.kind", "met_piece"), names)], *[c for c in texts.columns if c != "kind"])
+        return spread(rows, *names)
+
+    a, b = ["lk", "lp", "rk", "rp"], ["lk2", "lp2", "rk2", "rp2"]
+    return dealt(left, own, other, a).groupBy(*a).cogroup(dealt(right, other, own, [b[2], b[3], b[0], b[1]]).groupBy(*b))
+
+
+def _reaching(left: list[str], right: list[str], cutoff: float, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and scores of all pairs that score at least ``cutoff``, or of each left text's best,
+    the first of equals."""
+    both, ll, lr = _Spelled(left, right), len(left), len(right)
+    sizes = both.sizes
+    least = np.ceil(np.arange(2 * both.longest + 1) * (cutoff / 200) - 1e-9)
+    kinds, kind = np.unique(sizes[0], return_inverse=True)
+    needs = least[kinds[:, None] + sizes[1][None, :]].astype(np.uint8 if both.narrow else np.int32)
+    found, waiting, held = [], [], 0
+
+    def settle() -> None:
+        i, j = (np.concatenate(x) for x in zip(*waiting))
+        total = sizes[0][i] + sizes[1][j]
+        common = both.aligned(i, j, least[total])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            score = 200.0 * common / total
+        good = np.flatnonzero(score >= cutoff)
+        if best:
+            good = good[np.lexsort([j[good], -score[good], i[good]])]
+            good = good[np.flatnonzero(np.diff(i[good], prepend=-1))]
+        found.append((i[good], j[good], score[good]))
+
+    step = max(1, CELL // max(1, lr))
+    for first in range(0, ll, step):
+        last = min(ll, first + step)
+        near = np.flatnonzero((both.in_common(first, last) >= needs[kind[first:last]]).ravel())
+        waiting.append((first + near // lr, near % lr))
+        held += len(near)
+        if held >= PAIRS or last == ll:
+            settle()
+            waiting, held = [], 0
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _compared(left: DataFrame, right: DataFrame, cutoff: float, best: bool) -> DataFrame:
+    """``left_text``, ``right_text``, ``score`` of the pairs that reach ``cutoff``, from all cells."""
+    # Lengths of two that reach the cutoff differ by this ratio at most, so by one class at most.
+    ratio = max((2 - cutoff / 100) / (cutoff / 100), 1.05) * 1.001
+    kind = F.floor(F.log(F.length("text")) / math.log(ratio)).cast("int")
+    left = staged(left.select("text").filter("text <> ''").withColumn("kind", kind))
+    right = staged(right.select("text", *(["label"] if best else [])).filter("text <> ''").withColumn("kind", kind))
+
+    def pairs(a: pa.Table, b: pa.Table) -> pa.Table:
+        i = j = np.zeros(0, np.int64)
+        score = np.zeros(0)
+        if len(a) and len(b):
+            if best:
+                b = b.take(pc.sort_indices(b, sort_keys=[("label", "ascending")], null_placement="at_start"))
+            i, j, score = _reaching(a.column("text").to_pylist(), b.column("text").to_pylist(), cutoff, best)
+        return pa.table([a.column("text").take(pa.array(i)), b.column("text").take(pa.array(j)), pa.array(score)], names=["left_text", "right_text", "score"])
+
+    return _cells(left, right, 1).applyInArrow(pairs, "left_text string, right_text string, score double")
 
 
 def similar_texts(
     left: DataFrame, right: DataFrame, cutoff: float = settings.REVIEW_THRESHOLD
 ) -> DataFrame:
     """All (left text, right text) pairs that score at least ``cutoff``: columns ``left_text``,
-    ``right_text``, ``score``. Inputs have one distinct ``text`` column. Texts of one letter share
-    no letter pair with another text; they match themselves only."""
-    long = shortest_text(3, cutoff)
+    ``right_text``, ``score``. Inputs have one distinct ``text`` column; empty texts match nothing."""
+    shortest_text(3, cutoff)  # refuses what is too low to be told from chance
     if shortest_text(2, cutoff) > 3:
         raise ValueError(f"a cutoff of {cutoff} is too low to find short names by letter pairs")
-    longest_partner = int(long * (2 - cutoff / 100) / (cutoff / 100)) + 1
-    size = F.length("text")
-
-    def short(df: DataFrame) -> DataFrame:
-        return df.filter((size >= 2) & (size <= longest_partner))
-
-    found = candidates(left.filter(size >= long), right.filter(size >= long), 3, cutoff).unionByName(
-        candidates(short(left), short(right), 2, cutoff).filter(
-            F.least(F.length("left_text"), F.length("right_text")) < long
-        )
-    )
-    scored = found.select(
-        "left_text", "right_text", likeness_of("left_text", "right_text").alias("score")
-    ).filter(F.col("score") >= cutoff)
-    single = left.filter(size == 1).join(right.filter(size == 1), "text")
-    return scored.unionByName(
-        single.select(
-            F.col("text").alias("left_text"), F.col("text").alias("right_text"), F.lit(100.0).alias("score")
-        )
-    )
-
-
-LEVELS = (3, 2, 1)  # letters in a group, from the most telling to the one that always works
-START_GROUPS = 4  # rarest groups of each length a first look goes by
-START_PAIRS = 4  # times as many as asked for are scored at the first look
-HOT_GROUP = 100_000  # texts a letter group may have before its list is split
-
-
-def _letter_counts(text: Column) -> list[Column]:
-    codes = F.transform(F.split(text, ""), lambda ch: F.ascii(ch) % BAG)
-
-    def count_of(i: int) -> Column:
-        return F.coalesce(F.size(F.filter(codes, lambda code: code == F.lit(i))), F.lit(0))
-
-    return [count_of(i) for i in range(BAG)]
-
-
-def _groups(text: Column) -> Column:
-    """All letter groups of all lengths, as (q, part)."""
-
-    def of_length(q: int) -> Column:
-        return F.transform(letter_groups(text, q), lambda p: F.struct(F.lit(q).alias("q"), p.alias("part")))
-
-    return F.flatten(F.array(*map(of_length, LEVELS)))
-
-
-def _lost_share(q: int, mark: Column) -> Column:
-    """:func:`lost_share` where each text has its own cutoff, which may be 0."""
-    r = 1 - mark / 100
-    own, other = (q - 0.5) * r + 0.5, (q - 0.5) * r - 0.5
-    longest = F.when(mark > 0, (1 + r) / (1 - r)).otherwise(1e9)
-    return own + other * F.when(other < 0, (1 - r) / (1 + r)).otherwise(longest)
+    return _compared(left, right, cutoff, False)
+
+
+def most_similar(left: DataFrame, right: DataFrame, cutoff: float = settings.REVIEW_THRESHOLD) -> DataFrame:
+    """For each left ``text`` the right ``text`` that scores highest, and at least ``cutoff``: columns
+    as in :func:`similar_texts`. Equal scores go to the smaller ``label``, a column of the right.
+    No block sends on more than one row for a left text, however many are alike."""
+    found = _compared(left, right, cutoff, True).join(right.select(F.col("text").alias("right_text"), "label"), "right_text")
+    return one_per(found, ["left_text"], [F.col("score").desc(), F.col("label"), F.col("right_text")]).select("left_text", "right_text", "score")
+
+
+def _nearest(asked: list[str], entries: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each asked text and its ``n`` best entries, the first of equals.
+
+    Entries that share most letters are aligned first; the n-th best sets the mark, and only those
+    whose letters reach it are aligned too."""
+    both, count = _Spelled(asked, entries), len(entries)
+    found = []
+    step = max(1, CELL // max(1, count))
+    for first in range(0, len(asked), step):
+        last = min(len(asked), first + step)
+        total = (both.sizes[0][first:last, None] + both.sizes[1][None, :]).astype(np.float32)
+        bound = both.in_common(first, last).astype(np.float32)
+        none = bound == 0
+        with np.errstate(invalid="ignore", divide="ignore"):
+            bound = np.where(total == 0, np.float32(100), 200 * bound / total)
+
+        def scores(i: np.ndarray, j: np.ndarray, mark: np.ndarray) -> np.ndarray:
+            sizes = both.sizes[0][first + i] + both.sizes[1][j]
+            common = both.aligned(first + i, j, np.ceil(mark * sizes / 200 - 1e-6))
+            return np.where(sizes == 0, 100.0, 200.0 * common / np.maximum(sizes, 1))
+
+        some = min(count, FIRST_LOOK * n)
+        tops = np.argpartition(bound, count - some, axis=1)[:, count - some :] if some < count else np.tile(np.arange(count), (last - first, 1))
+        i, j = np.repeat(np.arange(last - first), some), tops.ravel()
+        score = scores(i, j, np.zeros(len(i)))
+        mark = np.sort(score.reshape(-1, some), axis=1)[:, -n] if some >= n else np.zeros(last - first)
+        # What shares no letter scores 0; only the first of those can count.
+        reach = (bound >= (mark - 1e-3)[:, None].astype(np.float32)) & (~none | (total == 0))
+        reach[i, j] = False
+        more_i, more_j = np.nonzero(reach)
+        blank = [(np.full(len(k), r), k) for r in np.flatnonzero(mark <= 0) for k in [np.flatnonzero(none[r] & (total[r] > 0))[:n]]]
+        zero_i, zero_j = (np.concatenate(x) for x in zip(*blank)) if blank else (np.zeros(0, np.int64),) * 2
+        i, j, score = np.concatenate([i, more_i, zero_i]), np.concatenate([j, more_j, zero_j]), np.concatenate([score, scores(more_i, more_j, mark[more_i]), np.zeros(len(zero_i))])
+        order = np.lexsort([j, -score, i])
+        i, j = i[order], j[order]
+        fresh = np.flatnonzero((np.diff(i, prepend=-1) != 0) | (np.diff(j, prepend=-1) != 0))
+        i, j = i[fresh], j[fresh]
+        heads = np.flatnonzero(np.diff(i, prepend=-1))
+        best = np.arange(len(i)) - np.repeat(heads, np.diff(np.append(heads, len(i)))) < n
+        found.append((first + i[best], j[best]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def closest(asked: DataFrame, entries: DataFrame, n: int = 4) -> DataFrame:
     """The ``n`` of ``entries`` (text, label) most alike to every asked ``text``, exactly and without a
     cutoff: columns ``asked``, ``text``, ``label``, ``score``, ``place``; equal scores by label.
 
-    A threshold search over an index of letter groups. A first look at the texts that share an asked
-    text's rarest groups scores the most promising ones; the n-th best sets its mark. A text that
-    reaches the mark can miss only so many groups, so it shares one of as many of the rarest and one
-    more; the higher the mark, the longer the groups that suffice, and single letters always do, as
-    texts without a common letter score 0. Of those that share one, only texts whose length and
-    letters leave the mark within reach are scored. Any number of texts may be asked for."""
-    asked = staged(asked.select(F.col("text").alias("asked")).filter("asked IS NOT NULL").distinct())
-    entries = staged(entries.select("text", "label").filter("text IS NOT NULL").distinct())
-    counts = [c.alias(f"_c{i}") for i, c in enumerate(_letter_counts(F.col("text")))]
-    facts = spread(entries.select("text").distinct(), "text").select("text", F.length("text").alias("_length"), *counts, _groups(F.col("text")).alias("_g"))
-    index = staged(facts.select("*", F.explode("_g").alias("g")).select("text", "_length", *[f"_c{i}" for i in range(BAG)], "g.q", "g.part"))
-    sizes = index.groupBy("q", "part").agg(F.count("*").alias("texts"))
-    # Lists of very common groups are split, and what looks in them is sent to every piece.
-    pieces = F.ceil(F.col("texts") / HOT_GROUP).cast("int")
-    hot = sizes.filter(F.col("texts") > HOT_GROUP).select("q", "part", pieces.alias("pieces"))
-    index = index.join(hot, ["q", "part"], "left").withColumn("piece", F.pmod(F.xxhash64("text"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces")
-
-    own = asked.select("asked", F.explode(_groups(F.col("asked"))).alias("g")).select("asked", "g.*").join(sizes, ["q", "part"], "left")
-    rarest = F.array_sort(F.collect_list(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "part")))
-    ordered = staged(own.groupBy("asked", "q").agg(rarest.alias("groups")))
-
-    def looked_up(rows: DataFrame) -> DataFrame:
-        """Rows with an array of ``groups`` of one length, beside the texts that have one of them."""
-        split = rows.withColumn("_parts", F.col("groups.part")).withColumn("g", F.explode("groups")).filter("g.texts > 0")
-        every = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("g.texts") / HOT_GROUP) - 1).cast("int")))
-        return split.withColumn("part", F.col("g.part")).withColumn("piece", every).drop("groups", "g").join(index, ["q", "part", "piece"])
-
-    known = F.filter("groups", lambda g: g["texts"] > 0)
-    start = ordered.filter("q > 1").withColumn("groups", F.slice(known, 1, START_GROUPS))
-    first = looked_up(start).groupBy("asked", "text").agg(F.count("*").alias("shared"), F.abs(F.max("_length") - F.length("asked")).alias("apart"))
-    promising = top_per(first, ["asked"], [F.col("shared").desc(), F.col("apart"), F.col("text")], START_PAIRS * n, "_n")
-    scored = staged(promising.select("asked", "text", likeness_of("asked", "text").alias("score")))
-    marks = (
-        top_per(scored, ["asked"], [F.col("score").desc()], n, "_n")
-        .groupBy("asked").agg(F.count("*").alias("found"), F.min("score").alias("mark")).filter(F.col("found") >= n)
-    )
-    goal = asked.join(marks.select("asked", "mark"), "asked", "left").withColumn("mark", F.coalesce("mark", F.lit(0.0)))
-
-    # The longest groups that are sure to meet every text at the mark or above.
-    share = reduce(lambda rest, q: F.when(F.col("q") == q, _lost_share(q, F.col("mark"))).otherwise(rest), LEVELS, F.lit(None))
-    needed = F.floor(F.length("asked") * share + 1e-9) + 1
-    usable = ordered.join(goal, "asked").withColumn("_needed", needed).filter("_needed <= size(groups) OR q = 1")
-    level = one_per(usable, ["asked"], [F.col("q").desc()])
-    look = level.select("asked", "mark", "q", F.slice("groups", F.lit(1), F.least("_needed", F.size("groups")).cast("int")).alias("groups"), *[c.alias(f"_a{i}") for i, c in enumerate(_letter_counts(F.col("asked")))])
-    total = F.length("asked") + F.col("_length")
-    unlike = reduce(lambda so_far, i: so_far + F.abs(F.col(f"_a{i}") - F.col(f"_c{i}")), range(1, BAG), F.abs(F.col("_a0") - F.col("_c0")))
-    # At most what the letters of both allow. A pair counts at the first group it shares.
-    in_reach = 100.0 * (total - unlike) >= (F.col("mark") - 1e-6) * total
-    once = F.filter("_parts", lambda p: F.contains(F.col("text"), p))[0] == F.col("part")
-    reached = looked_up(look).filter(F.when(in_reach, once).otherwise(False)).select("asked", "text")
-    more = reached.join(scored.select("asked", "text"), ["asked", "text"], "left_anti")
-    found = scored.unionByName(more.select("asked", "text", likeness_of("asked", "text").alias("score")))
-    # Where fewer than n share a letter, those first in order fill up.
-    lowest = [r.text for r in entries.orderBy("label", "text").limit(n).collect()]
-    filler = asked.select("asked", F.explode(F.array(*[F.lit(t) for t in lowest]).cast("array<string>")).alias("text"))
-    found = found.unionByName(filler.select("asked", "text", likeness_of("asked", "text").alias("score"))).distinct()
-    return top_per(found.join(entries, "text"), ["asked"], [F.col("score").desc(), F.col("label")], n, "place").select("asked", "text", "label", "score", "place")
-
-
-def best_match(pairs: DataFrame, by: str, order: list[Column]) -> DataFrame:
-    pick = Window.partitionBy(by).orderBy(F.col("score").desc(), *order)
-    return pairs.withColumn("_n", F.row_number().over(pick)).filter("_n = 1").drop("_n")
+    Every block of asked texts meets every block of entries, and sends on its ``n`` best for each
+    asked text (:func:`_nearest`). Any number of texts may be asked for."""
+    # Very long texts stand in blocks of their own, as a block's rows are filled up to its longest.
+    size = F.length("text")
+    kind = F.when(size <= 4 * LONG, 0).otherwise(F.floor(F.log2(size / (2 * LONG)))).cast("int")
+    asked = staged(asked.select("text").filter("text IS NOT NULL").distinct().withColumn("kind", kind))
+    entries = staged(entries.select("text", "label").filter("text IS NOT NULL").distinct().withColumn("kind", kind))
+    label = entries.schema["label"].dataType.simpleString()
+
+    def page(a: pa.Table, b: pa.Table) -> pa.Table:
+        i = j = np.zeros(0, np.int64)
+        if len(a) and len(b):
+            b = b.take(pc.sort_indices(b, sort_keys=[("label", "ascending"), ("text", "ascending")], null_placement="at_start"))
+            i, j = _nearest(a.column("text").to_pylist(), b.column("text").to_pylist(), n)
+        b = b.take(pa.array(j))
+        return pa.table([a.column("text").take(pa.array(i)), b.column("text"), b.column("label")], names=["asked", "text", "label"])
+
+    found = _cells(asked, entries, 32, 4).applyInArrow(page, f"asked string, text string, label {label}")
+    scored = found.withColumn("score", likeness_of("asked", "text"))
+    return top_per(scored, ["asked"], [F.col("score").desc(), F.col("label"), F.col("text")], n, "place").select("asked", "text", "label", "score", "place")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from upswell import settings
 from upswell.functions.text import entity_key, is_tribute, key_to_mbid, match_form
-from upswell.operators.fuzzy import best_match, closest, similar_texts, sorted_tokens
+from upswell.operators.fuzzy import closest, most_similar, sorted_tokens
 from upswell.operators.latest import one_per
 from upswell.staging import staged
 
@@ -104,12 +104,14 @@ def best_similar(forms: DataFrame, by_form: DataFrame, order: list[Column]) -> D
     right = by_form.select(
         "artist_key", "artist_name", sorted_tokens(F.col("form")).alias("right_text")
     )
-    pairs = similar_texts(
-        left.select(F.col("left_text").alias("text")).distinct(),
-        right.select(F.col("right_text").alias("text")).distinct(),
+    entities = staged(
+        one_per(right, ["right_text"], [F.col("artist_key")]).select(
+            F.col("right_text").alias("text"), F.col("artist_key").alias("label"), "artist_key", "artist_name"
+        )
+    )
+    best = most_similar(left.select(F.col("left_text").alias("text")).distinct(), entities).join(
+        entities.withColumnRenamed("text", "right_text"), "right_text"
     )
-    entities = one_per(right, ["right_text"], [F.col("artist_key")])
-    best = best_match(pairs.join(entities, "right_text"), "left_text", [F.col("artist_key")])
     return left.join(best, "left_text").select(
         "form",
         F.col("artist_key").alias("similar_key"),
