@@ -59,6 +59,21 @@ def test_merges_that_make_earlier_pairs(tmp_path, rng):
     assert rows(*own.encoded(some)) == [e.ids for e in lib.encode_batch(some, add_special_tokens=False)]
 
 
+def test_units_used_most_stay_known(monkeypatch, texts):
+    """A full memory keeps what is used again, so that it is not merged anew in every run."""
+    monkeypatch.setattr(bpe, "MOST_UNITS", 40)
+    monkeypatch.setattr(bpe, "MOST_KNOWN", 40)
+    own, lib, learned = bpe.Bpe(BYTE), library(BYTE), []
+    learn = own.merged
+    monkeypatch.setattr(own, "merged", lambda words: learned.extend(words) or learn(words))
+    for n in range(60):
+        run = [f"the same word and the word again {n} {n}x", *texts[n * 20 : n * 20 + 20 * (n % 7 == 0)]]
+        assert rows(*own.encoded(run)) == [e.ids for e in lib.encode_batch(run, add_special_tokens=False)]
+    assert learned.count(b" word") <= 3
+    monkeypatch.setattr(bpe, "UNIT_BYTES", 10)
+    assert rows(*own.encoded(texts)) == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_frames_both_ways(spark, frame, texts):
     docs = frame([(i, t) for i, t in enumerate(texts[:300])] + [(None, "x"), (7, None)])
     out = bpe.decode(bpe.encode(docs, BYTE), BYTE).collect()

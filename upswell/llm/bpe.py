@@ -16,6 +16,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -25,8 +26,11 @@ from upswell.llm.frames import in_batches
 
 #: Bytes of text whose new pre-tokens are merged together.
 RUN_BYTES = 4 << 20
-#: Units, and pre-tokens, a Python worker remembers; it starts afresh beyond that.
-MOST_KNOWN = 300_000
+#: Pre-tokens a Python worker remembers, it starts afresh beyond that; and units, of which it goes on
+#: with those used most.
+MOST_KNOWN, MOST_UNITS = 300_000, 600_000
+#: Bytes of units a worker remembers; it starts afresh beyond that.
+UNIT_BYTES = 64 << 20
 
 #: A space beside other white space or at the end: such a text is not cut at its spaces first. The
 #: pattern begins with the space, which is quicker to search for.
@@ -65,6 +69,40 @@ class Known(dict):
         self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
 
 
+class Units:
+    """Units as Arrow strings without the space they begin with, numbered in the order they first
+    appear, and the ids of those learned so far. A part of a text cut at spaces holds none, so a unit
+    that does not begin with a space is told by one put before it."""
+
+    def __init__(self) -> None:
+        self.texts = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, np.int32)
+        self.counts = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def numbers(self, *marked: pa.Array) -> list[np.ndarray]:
+        coded = pa.chunked_array([self.texts, *marked], pa.large_string()).combine_chunks().dictionary_encode()
+        self.texts = coded.dictionary
+        rows = coded.indices.to_numpy()[len(self.uses) :]
+        uses = np.bincount(rows, minlength=len(self.texts))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        return np.split(rows, np.cumsum([len(m) for m in marked])[:-1])
+
+    def new(self) -> list[str]:
+        return [m[1:] if m[:1] == " " else " " + m for m in self.texts.slice(len(self.counts)).to_pylist()]
+
+    def learned(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+
+    def trimmed(self) -> None:
+        """Go on with those used more than once, half of MOST_UNITS at most; their uses so far count half."""
+        best = np.argsort(-self.uses, kind="stable")[: MOST_UNITS // 2]
+        best = np.sort(best[self.uses[best] > 1])
+        self.ids = gathered(self.ids, self.counts, best)
+        self.texts, self.counts, self.uses = self.texts.take(pa.array(best)), self.counts[best], self.uses[best] // 2
+
+
 class Bpe:
     """A vocabulary and its merges, read from a tokenizers file with a byte-level BPE model."""
 
@@ -82,6 +120,13 @@ class Bpe:
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.order = np.argsort((left << 32) | right)
         self.pairs = ((left << 32) | right)[self.order]
+        # ranks of pairs of bytes, which a run begins with
+        byte_of_id = np.full(max(vocab.values()) + 1, 256)
+        byte_of_id[self.byte_ids] = np.arange(256)
+        a, b = byte_of_id[left], byte_of_id[right]
+        self.byte_ranks = np.full((257, 257), len(pairs), np.int32)
+        self.byte_ranks[a, b] = np.arange(len(pairs))
+        self.byte_ranks = np.ascontiguousarray(self.byte_ranks[:256, :256])
         # if no merge makes an earlier pair, all places of a rank can be merged at once
         born = np.full(max(vocab.values()) + 1, -1)
         born[self.made] = np.arange(len(pairs))
@@ -94,7 +139,7 @@ class Bpe:
         self.bytes = np.frombuffer(b"".join(texts.get(i, b"") for i in range(len(self.lengths))), np.uint8)
         self.find = regex.compile(PIECES).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")").split if self.special else None
-        self.units, self.known = Known(), Known()
+        self.units, self.known = Units(), Known()
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens; a special token is one, and cannot come about otherwise."""
@@ -102,12 +147,28 @@ class Bpe:
             return self.find(text)
         return [p for part in self.cut(text) for p in ([part] if part in self.special else self.find(part))]
 
-    def cut_at_spaces(self, text: str) -> list[str]:
-        """Parts of a text that can be cut into pre-tokens by themselves."""
-        if text.startswith(" ") or UNEVEN.search(text) or any(s in text for s in self.special):
-            return self.pieces(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]]
+    def numbered_units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of all texts in a row, and how many each text has. Texts are cut at
+        single spaces, which begin the units after the first; one that cannot be cut so is cut into
+        pre-tokens."""
+        apart = [text.startswith(" ") or UNEVEN.search(text) is not None or any(s in text for s in self.special) for text in texts]
+        parts = pc.split_pattern(pa.array(["" if alone else text for text, alone in zip(texts, apart)], pa.large_string()), " ")
+        begins, flat = parts.offsets.to_numpy().astype(np.int64), parts.flatten()
+        follows = np.ones(len(flat), bool)
+        follows[begins[:-1]] = False
+        # what does not follow a space: a text's first unit, or all pre-tokens of a text that stands apart
+        firsts = flat.take(pa.array(begins[:-1])).to_pylist()
+        others = [self.pieces(text) if alone else [first] for text, alone, first in zip(texts, apart, firsts)]
+        spaced, plain = self.units.numbers(flat.filter(pa.array(follows)), pa.array([" " + u for units in others for u in units], pa.large_string()))
+        before = np.array([len(units) for units in others], np.int64)
+        sizes = before + np.diff(begins) - 1
+        starts = np.cumsum(sizes) - sizes
+        numbers = np.zeros(int(sizes.sum()), np.int64)
+        at = np.repeat(starts - (np.cumsum(before) - before), before) + np.arange(len(plain))
+        rest = np.ones(len(numbers), bool)
+        rest[at] = False
+        numbers[at], numbers[rest] = plain, spaced
+        return numbers, sizes
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs; the number of merges where a pair is none."""
@@ -118,7 +179,8 @@ class Bpe:
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each has."""
         lengths = np.array([len(w) for w in words], np.int64)
-        symbol = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbol = self.byte_ids[raw]
         n = len(symbol)
         word = np.repeat(np.arange(len(words)), lengths)
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -129,14 +191,13 @@ class Bpe:
         places: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
 
-        def note(at: np.ndarray) -> None:
-            """Add the pairs that start at these places to the index."""
-            rank = self.ranks(symbol[at], symbol[after[at]])
+        def note(at: np.ndarray, rank: np.ndarray) -> None:
+            """Add the pairs of these ranks that start at these places to the index."""
             good = rank < len(self.left)
             at, rank = at[good], rank[good]
             if not len(at):
                 return
-            order = np.argsort(rank, kind="stable")
+            order = np.argsort(rank.astype(np.uint16) if len(self.left) <= 1 << 16 else rank, kind="stable")  # 16 bits sort quicker
             at, rank = at[order], rank[order]
             heads = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
             for r, group in zip(rank[heads].tolist(), np.split(at, heads[1:])):
@@ -146,7 +207,8 @@ class Bpe:
                     places[r] = [group]
                     heapq.heappush(active, r)
 
-        note(np.flatnonzero(after >= 0))
+        pairs = np.flatnonzero(after >= 0)
+        note(pairs, self.byte_ranks[raw[pairs], raw[pairs + 1]])
         while active:
             rank = heapq.heappop(active)
             groups = places.pop(rank)
@@ -175,7 +237,8 @@ class Bpe:
             before[beyond[inner]] = at[inner]
             ahead = before[at]
             ahead = ahead[ahead >= 0]
-            note(_distinct(np.concatenate([ahead, at[inner]])))
+            touched = _distinct(np.concatenate([ahead, at[inner]]))
+            note(touched, self.ranks(symbol[touched], symbol[after[touched]]))
         return symbol[alive].astype(np.int32), np.bincount(word[alive], minlength=len(words))
 
     def learn_pieces(self) -> None:
@@ -188,8 +251,8 @@ class Bpe:
         self.known.learned(ids, counts)
 
     def learn_units(self) -> None:
-        # a space and ASCII letters are one pre-token, as most units are
-        pieces = [[u] if u in self.special or u.isascii() and u[u[:1] == " " :].isalpha() else self.find(u) for u in self.units.new()]
+        # a space and letters are one pre-token, as most units are
+        pieces = [[u] if u[u[:1] == " " :].isalpha() or u in self.special else self.find(u) for u in self.units.new()]
         flat = self.known.numbers([p for unit in pieces for p in unit])
         self.learn_pieces()
         sizes = np.array([len(unit) for unit in pieces], np.int64)
@@ -197,14 +260,14 @@ class Bpe:
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        if len(self.units) > MOST_KNOWN:
-            self.units = Known()
+        if self.units.texts.nbytes > UNIT_BYTES:
+            self.units = Units()
+        elif len(self.units.texts) > MOST_UNITS:
+            self.units.trimmed()
         if len(self.known) > MOST_KNOWN:
             self.known = Known()
-        numbers = [self.units.numbers(self.cut_at_spaces(text)) for text in texts]
+        flat, sizes = self.numbered_units(texts)
         self.learn_units()
-        flat = np.concatenate([*numbers, np.zeros(0, np.int64)])
-        sizes = np.array([len(n) for n in numbers], np.int64)
         return gathered(self.units.ids, self.units.counts, flat), _sums(self.units.counts[flat], sizes)
 
     def decoded(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
