@@ -145,10 +145,11 @@ def possible_alias(spark: SparkSession, folder: str) -> DataFrame:
 
 def live_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nested ticketing records of a second source, parsed, matched and shaped like the first:
-    its shows, its bills and the signals its acts are found in."""
-    lines = event_lines(spark, folder)
+    its shows, its bills and the signals its acts are found in. Lines and bills are read by several
+    branches, so they are worked out once."""
+    lines = staged(event_lines(spark, folder))
     events = landing.bookable(landing.parse_events(lines))
-    bill = landing.parse_bills(lines)
+    bill = staged(landing.parse_bills(lines))
     order = [F.col("event_id").cast("bigint").desc(), F.col("billing_order").desc()]
     # Promoted parts are tracked under a name key, so only their name can match.
     tracked = views.table(spark, folder, "part").select(
@@ -180,8 +181,9 @@ def live_source(spark: SparkSession, folder: str) -> DataFrame:
 
 def live_search(spark: SparkSession, folder: str) -> DataFrame:
     """The same show search, run over the second source."""
-    out = shows.show_search(
-        *live_tables(spark, folder), today(), max_price=20.0, days_ahead=45, limit=50
+    listed, bill, tracked_signals = live_tables(spark, folder)
+    out = shows.show_search(  # it reads the shows for the page and for its counts
+        staged(listed), bill, tracked_signals, today(), max_price=20.0, days_ahead=45, limit=50
     )
     return joined(out, "lineup")
 
