@@ -317,7 +317,7 @@ def pool_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pool_event_append(spark: SparkSession, folder: str) -> DataFrame:
-    lines = event_lines(spark, folder)
+    lines = staged(event_lines(spark, folder))  # events and bills are both read from them
     events = landing.parse_events(lines).withColumn("event_id", F.col("event_id").cast("bigint"))
     bill = landing.parse_bills(lines).withColumn("event_id", F.col("event_id").cast("bigint"))
     bill = bill.withColumn("performer_mbid", F.col("attraction_id"))

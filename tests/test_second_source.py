@@ -32,7 +32,7 @@ def folder(spark, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("query, rows", [("live_source", 10), ("live_search", 10)])
+@pytest.mark.parametrize("query, rows", [("live_source", 10), ("live_search", 10), ("pool_event_append", 4)])
 def test_lines_are_worked_out_once(spark, folder, query, rows):
     out = people.QUERIES[query](spark, folder)
     assert not [f for f in out.inputFiles() if "lineitem" in f or "orders.parquet" in f]
