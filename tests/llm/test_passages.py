@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from upswell.llm import arrays, passages
 
@@ -99,3 +100,28 @@ def test_repeated_rows_are_one_document_and_no_rows(frame, prose):
     text = prose(300)
     assert found(frame, [(1, text), (1, text), (2, prose(100))]) == {}
     assert found(frame, []) == {}
+
+
+@pytest.mark.parametrize("most", [1, 3, 4096])
+def test_only_cores_of_very_many_suffixes_are_sorted(frame, prose, rng, monkeypatch, most):
+    """Others are compared in one pass. Both ways, and both together, find the same."""
+    sorted_, way = [], passages._sorted_spans
+    monkeypatch.setattr(passages, "MOST_TOGETHER", most)
+    monkeypatch.setattr(passages, "_sorted_spans", lambda suffixes: sorted_.append(suffixes.count()) or way(suffixes))
+    parts = [prose(n).split() for n in (49, 50, 52, 66, 90)]
+    docs = [(i, " ".join([*prose(i % 40).split(), *rng.choice(parts), *prose(i % 7).split()])) for i in range(80)]
+    twin = prose(60)
+    docs += [(None, twin), (90, twin), (90, twin), (91, prose(5) + " " + twin + " x " + twin), docs[3], docs[3]]
+    assert found(frame, docs) == covered(docs)
+    assert (sorted_[0] > 0) == (most < 4096)
+
+
+def test_alike_suffixes_of_a_text_are_one_row(frame, prose, monkeypatch):
+    rows, way = [], passages._sorted_spans
+    monkeypatch.setattr(passages, "MOST_TOGETHER", 1)
+    monkeypatch.setattr(passages, "_sorted_spans", lambda suffixes: rows.append(suffixes.count()) or way(suffixes))
+    pair = prose(2)
+    docs = [(i, " ".join([prose(5), *[pair] * (150 + i), prose(9), *[pair] * 40])) for i in range(4)] + [(9, " ".join(["a"] * 400)), (10, "b " * 49)]
+    assert found(frame, docs) == covered(docs)
+    places = sum(r.n for r in passages.in_batches(frame(docs).selectExpr("doc_id", "1L AS text_print", "text"), passages._core_rows, "core long, doc_id long, text_print long, places array<int>").selectExpr("size(places) AS n").collect())
+    assert rows[0] < places / 2

@@ -3,11 +3,12 @@
 Texts are sequences of words. Of all suffixes only those are kept that start at a minimiser: a place
 whose hash is the smallest of the places around it. Every passage of MIN_WORDS words holds the first
 CORE words of a kept suffix. Suffixes whose core no other shares are dropped; the others are sorted
-by core and by the words after it, and by core and the words before it, backwards; in either order
-neighbours are compared and the match is extended to both sides. Neighbours also bound what any
-other suffix can share on either side; where that leaves a window of MIN_WORDS words around the core
-open, the suffixes of the core are compared by that window, which finds partners that are neighbours
-in neither order."""
+by core. A core's suffixes stand in one task and are compared there by every window of MIN_WORDS words
+around it. Of a core that more than MOST_TOGETHER have only a batch is held: its suffixes are sorted by
+the words after it, and by the words before it, backwards; in either order neighbours are compared and
+the match is extended to both sides. Neighbours also bound what any other suffix can share on either
+side; where that leaves a window open, the suffixes of the core are compared by that window, which finds
+partners that are neighbours in neither order."""
 
 from __future__ import annotations
 
@@ -32,6 +33,10 @@ GRAM = 4
 SIDE = WINDOW
 #: Words of the shortest passage beside its core.
 MORE = MIN_WORDS - CORE
+#: Suffixes of a core that are held in a task at once; a core with more is sorted instead.
+MOST_TOGETHER = 4096
+_WORD_FACTORS = arrays.seeds(2 * SIDE, 130_000) | np.uint64(1)
+_SUFFIXES = "core long, ahead binary, behind binary, doc_id long, text_print long, place int, room_ahead int, room_behind int, heavy boolean, own_start array<long>, own_end array<long>"
 TOLD = "core long, doc_id long, text_print long, place int, ahead int, behind int, windows int, led int, start_word long, end_word long"
 
 
@@ -86,30 +91,51 @@ def _core_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _suffix_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The suffixes asked for with the words around their cores: 4 bytes a word, those before the
-    core backwards, 0 beyond the text."""
+    core backwards, 0 beyond the text. Those of a text that are alike in all of these are one row, with
+    the first place and what their windows cover. Places of cores that very many suffixes have come
+    negated, bit by bit."""
     for first, last, words, before in _words(batch.column("text")):
         asked = batch.column("places").slice(first, last - first)
         counts = np.diff(asked.offsets.to_numpy().astype(np.int64))
         row = np.repeat(np.arange(last - first), counts)
-        places = asked.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + before[row]
+        places = asked.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(places):
             continue
+        heavy = places < 0
+        places = np.where(heavy, ~places, places) + before[row]
         short = np.append((words >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0))
         side = np.arange(SIDE)
         ahead = places[:, None] + CORE + side[None, :]
         ahead[ahead >= before[row + 1][:, None]] = len(words)
         behind = places[:, None] - 1 - side[None, :]
         behind[behind < before[row][:, None]] = len(words)
-        as_bytes = lambda at: pa.array([r.tobytes() for r in short[at].astype(">u4")], pa.binary())
+        ahead, behind = short[ahead], short[behind]
         cores = arrays.span_hashes(arrays.prefix_sums(words), places, places + CORE)
-        picked = pa.array(row + first)
+        with np.errstate(over="ignore"):
+            around = (arrays.mixed(np.concatenate([ahead, behind], axis=1).astype(np.uint64)) * _WORD_FACTORS).sum(axis=1, dtype=np.uint64)
+        order = np.lexsort((places, around, cores, row))
+        new = np.ones(len(order), bool)
+        new[1:] = (row[order[1:]] != row[order[:-1]]) | (cores[order[1:]] != cores[order[:-1]]) | (around[order[1:]] != around[order[:-1]])
+        heads, n = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
+        place = places - before[row]
+        room_ahead, room_behind = np.minimum(SIDE, before[row + 1] - places - CORE), np.minimum(SIDE, place)
+        # where alike ones stand every window repeats: what these cover, touching ones as one
+        twice = (np.repeat(n, n) > 1) & (room_ahead + room_behind >= MORE)[order]
+        at, group = order[twice], np.cumsum(new)[twice] - 1
+        low, high = place[at] - np.minimum(room_behind[at], MORE), place[at] + CORE + np.minimum(room_ahead[at], MORE)
+        apart = np.ones(len(at) + 1, bool)
+        apart[1:-1] = (group[1:] != group[:-1]) | (low[1:] > high[:-1])
+        spans = np.bincount(group[apart[:-1]], minlength=len(heads))
+        as_bytes = lambda x: pa.array([r.tobytes() for r in x.astype(">u4")], pa.binary())
+        as_int = lambda x: pa.array(x.astype(np.int32))
+        picked = pa.array(row[heads] + first)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(arrays.signed(cores)), as_bytes(ahead), as_bytes(behind), batch.column("doc_id").take(picked),
-                batch.column("text_print").take(picked), pa.array((places - before[row]).astype(np.int32)),
-                pa.array(np.minimum(SIDE, before[row + 1] - places - CORE).astype(np.int32)), pa.array(np.minimum(SIDE, places - before[row]).astype(np.int32)),
+                pa.array(arrays.signed(cores[heads])), as_bytes(ahead[heads]), as_bytes(behind[heads]), batch.column("doc_id").take(picked),
+                batch.column("text_print").take(picked), as_int(place[heads]), as_int(room_ahead[heads]), as_int(room_behind[heads]), pa.array(heavy[heads]),
+                arrays.list_array(low[apart[:-1]], spans, pa.int64()), arrays.list_array(high[apart[1:]], spans, pa.int64()),
             ],
-            names=["core", "ahead", "behind", "doc_id", "text_print", "place", "room_ahead", "room_behind"],
+            names=[c.split()[0] for c in _SUFFIXES.split(", ")],
         )
 
 
@@ -184,6 +210,64 @@ def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from told(pa.Table.from_batches([last]), *ends).to_batches()
 
 
+def _together_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For suffixes sorted by core how far those reach that share a window of MIN_WORDS words around it
+    with another suffix. A core's suffixes are taken together."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        core = batch.column("core").to_numpy()
+        if rest and rest[0].column("core")[0].as_py() == core[-1]:
+            rest.append(batch)
+            continue
+        done = int(np.flatnonzero(core == core[-1])[0])
+        yield from _windows_of(pa.Table.from_batches([*rest, batch.slice(0, done)]))
+        rest = [batch.slice(done)]
+    if rest:
+        yield from _windows_of(pa.Table.from_batches(rest))
+
+
+def _windows_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    core, prints, place = (table.column(c).to_numpy() for c in ("core", "text_print", "place"))
+    ids = table.column("doc_id").combine_chunks()
+    known, doc = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+    # suffixes of a repeated row are one
+    order = np.lexsort((place, prints, doc, known, core))
+    same = np.ones(max(0, len(order) - 1), bool)
+    for column in (core, known, doc, prints, place):
+        same &= column[order[1:]] == column[order[:-1]]
+    rows = order[np.concatenate([np.ones(min(1, len(order)), bool), ~same])]
+    # for each side and number of words a hash of so many words next to the core, and whether the text has them
+    sums, there = [], []
+    for side, factors in zip(("ahead", "behind"), np.split(_WORD_FACTORS, 2)):
+        words = np.frombuffer(b"".join(table.column(side).to_pylist()), ">u4").reshape(-1, SIDE)[rows, :MORE].astype(np.uint64)
+        total = np.zeros((len(rows), MORE + 1), np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(arrays.mixed(words) * factors[:MORE], axis=1, out=total[:, 1:])
+        sums.append(total)
+        there.append((words != 0).sum(axis=1))
+    low, high = np.full(len(rows), -1), np.full(len(rows), -1)
+    seed = arrays.mixed(core[rows].astype(np.int64).view(np.uint64))
+    for j in range(MORE + 1):
+        some = np.flatnonzero((there[0] >= j) & (there[1] >= MORE - j))
+        with np.errstate(over="ignore"):
+            window = arrays.mixed(seed[some] + sums[0][some, j] + sums[1][some, MORE - j])
+        by_window = np.argsort(window, kind="stable")
+        alike = window[by_window][1:] == window[by_window][:-1]
+        again = np.zeros(len(some), bool)
+        again[by_window[1:][alike]] = again[by_window[:-1][alike]] = True
+        high[some[again]] = j
+        low[some[again]] = np.maximum(low[some[again]], MORE - j)
+    found = np.flatnonzero(high >= 0)
+    if len(found):
+        at, picked = place[rows[found]].astype(np.int64), pa.array(rows[found])
+        yield pa.RecordBatch.from_arrays(
+            [ids.take(picked), pa.array(prints[rows[found]]), pa.array(at - low[found]), pa.array(at + CORE + high[found])],
+            names=["doc_id", "text_print", "start_word", "end_word"],
+        )
+
+
 def _by_windows(suffixes: DataFrame, told: DataFrame) -> DataFrame:
     """Spans of the windows of MIN_WORDS words that occur again where no neighbour tells. A suffix
     shares at most as many words ahead with any other as with its neighbours in the first order, and
@@ -250,15 +334,23 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ignored."""
     named = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_print"), F.col("text").cast("string"))
     cores = staged(in_batches(named, _core_rows, "core long, doc_id long, text_print long, places array<int>"))
-    twice = cores.groupBy("core").agg(F.sum(F.size("places")).alias("n")).filter("n > 1").select("core")
+    twice = cores.groupBy("core").agg(F.sum(F.size("places")).alias("n")).filter("n > 1")
+    named_places = F.when(F.col("n") > MOST_TOGETHER, F.transform("places", F.bitwise_not)).otherwise(F.col("places"))
     asked = (
         cores.join(twice, "core").groupBy(F.col("doc_id").alias("d"), F.col("text_print").alias("p"))
-        .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+        .agg(F.array_distinct(F.flatten(F.collect_list(named_places))).alias("places"))
     )
     same = named.doc_id.eqNullSafe(F.col("d")) & (named.text_print == F.col("p"))
     joined = named.join(asked, same).select("doc_id", "text_print", "text", "places")
-    schema = "core long, ahead binary, behind binary, doc_id long, text_print long, place int, room_ahead int, room_behind int"
-    suffixes = staged(in_batches(joined, _suffix_rows, schema))
+    suffixes = staged(in_batches(joined, _suffix_rows, _SUFFIXES))
+    together = suffixes.filter("NOT heavy").select("core", "ahead", "behind", "doc_id", "text_print", "place").repartition("core").sortWithinPartitions("core")
+    spans = together.mapInArrow(_together_rows, "doc_id long, text_print long, start_word long, end_word long")
+    own = suffixes.filter("size(own_start) > 0").select("doc_id", "text_print", F.explode(F.arrays_zip(F.col("own_start").alias("start_word"), F.col("own_end").alias("end_word"))).alias("s"))
+    return _merged_spans(spans.union(own.select("doc_id", "text_print", "s.*")).union(_sorted_spans(suffixes.filter("heavy"))))
+
+
+def _sorted_spans(suffixes: DataFrame) -> DataFrame:
+    """Spans of the suffixes of cores that very many have, from two orders of them."""
     by_core = suffixes.select("core", "ahead", "behind", "doc_id", "text_print", "place").repartition("core")
     one = ["doc_id", "text_print", "place"]
     onward = by_core.sortWithinPartitions("core", "ahead", "behind", *one).mapInArrow(_neighbour_rows, TOLD)
@@ -271,4 +363,4 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
     told = staged(told)
     spans = told.filter("start_word IS NOT NULL").select("doc_id", "text_print", "start_word", "end_word")
-    return _merged_spans(spans.union(_by_windows(suffixes, told)))
+    return spans.union(_by_windows(suffixes, told))
