@@ -107,8 +107,9 @@ def merge_pool(
 
 
 def billed_performers(bill: DataFrame, events: DataFrame) -> DataFrame:
-    """Distinct performers of events as pool candidates, the earliest billing first."""
-    acts = bill.join(events.select("event_id", "city"), "event_id").select(
+    """Distinct performers of events as pool candidates, the earliest billing first. Events read out of
+    VARIANT lines look far smaller to Spark than they are, so the join says not to send all of them to every task."""
+    acts = bill.join(events.select("event_id", "city").hint("merge"), "event_id").select(
         entity_key(F.col("performer_name"), F.col("performer_mbid")).alias("artist_key"),
         F.col("performer_name").alias("name"),
         F.col("performer_mbid").alias("mbid"),
